@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskloom.operators.longform import POSITION, long_cells, named, names_table
 from riskloom.operators.profile import value_counts
 from riskloom.operators.ranges import exact_medians
 
@@ -64,14 +65,12 @@ def varying_dimensions(df: DataFrame, numeric: Sequence[str], strings: Sequence[
     """
     parts = []
     if numeric:
-        spans = [
-            F.struct(
-                F.lit(name).alias("dimension"),
-                F.coalesce(F.min(name) != F.max(name), F.lit(False)).alias("kept"),
-            )
-            for name in numeric
-        ]
-        parts.append(df.agg(F.array(*spans).alias("spans")).select(F.inline("spans")))
+        spans = (
+            long_cells(df, [F.col(name).cast("double") for name in numeric])
+            .groupBy(POSITION)
+            .agg(F.coalesce(F.min("value") != F.max("value"), F.lit(False)).alias("kept"))
+        )
+        parts.append(named(spans, numeric, "dimension"))
     if strings:
         total = df.agg(F.count(F.lit(1))).scalar()
         counts = value_counts(df, strings).where(F.col("value").isNotNull())
@@ -81,8 +80,8 @@ def varying_dimensions(df: DataFrame, numeric: Sequence[str], strings: Sequence[
                 (F.col("n_rows") < total).alias("kept"),
             )
         )
-        unseen = [F.struct(F.concat(F.lit(name), F.lit("_ohe___unknown")).alias("dimension"), F.lit(False).alias("kept")) for name in strings]
-        parts.append(df.agg(F.count(F.lit(1))).select(F.inline(F.array(*unseen))))
+        unseen = names_table(df, [f"{name}_ohe___unknown" for name in strings], "dimension")
+        parts.append(unseen.select("dimension", F.lit(False).alias("kept")))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.longform import POSITION, long_cells, named, names_table
+
 TOP_CATEGORIES = 10
 
 
@@ -30,61 +32,75 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return column.cast("string")
 
 
+def _fingerprint(df: DataFrame, name: str) -> Column:
+    """Hash of a present value; a type that cannot be hashed counts as one value."""
+    column = F.col(name)
+    unhashable = isinstance(df.schema[name].dataType, (T.MapType, T.VariantType))
+    return F.when(column.isNotNull(), F.lit(1).cast("bigint") if unhashable else F.xxhash64(column))
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """feature_name, value, n_rows for all the columns at once, NULL values included.
 
     One pass: columns are turned into rows and counted before the shuffle, so a
     value held by a third of all rows travels as one row per task.
     """
-    return (
-        df.select(*[_as_text(df, name).alias(name) for name in columns])
-        .unpivot([], list(columns), "feature_name", "value")
-        .groupBy("feature_name", "value")
+    counts = (
+        long_cells(df, [_as_text(df, name) for name in columns])
+        .groupBy(POSITION, "value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    return named(counts, columns)
+
+
+def _complete(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column, also where the table is empty and nothing was counted."""
+    return names_table(df, columns).join(stats, POSITION, "left").drop(POSITION)
+
+
+def _null_columns() -> list[Column]:
+    """n_rows, n_null and null_ratio from the counts of all rows and of present values."""
+    rows, present = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_present", F.lit(0))
+    return [
+        rows.alias("n_rows"),
+        (rows - present).alias("n_null"),
+        F.when(rows > 0, (rows - present) / rows).otherwise(F.lit(1.0)).alias("null_ratio"),
+    ]
+
+
+def column_stats(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) -> DataFrame:
+    """feature_name, n_rows, n_null, null_ratio and the approximate distinct_non_null, in one pass."""
+    stats = (
+        long_cells(df, [_fingerprint(df, name) for name in columns])
+        .groupBy(POSITION)
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("value").alias("n_present"),
+            F.approx_count_distinct("value", rsd).alias("distinct_non_null"),
+        )
+    )
+    return _complete(df, stats, columns).select(
+        "feature_name", *_null_columns(), F.coalesce("distinct_non_null", F.lit(0)).alias("distinct_non_null")
+    )
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """feature_name, n_rows, n_null, null_ratio (1.0 for an empty table), by one wide aggregate."""
     names = list(df.columns if columns is None else columns)
-    rows = F.count(F.lit(1)).alias("rows")
     present = [F.count(F.col(name)).alias(f"present_{i}") for i, name in enumerate(names)]
-    nulls = [F.col("rows") - F.col(f"present_{i}") for i in range(len(names))]
-    return df.agg(rows, *present).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("feature_name"),
-                        F.col("rows").alias("n_rows"),
-                        null.alias("n_null"),
-                        F.when(F.col("rows") > 0, null / F.col("rows"))
-                        .otherwise(F.lit(1.0))
-                        .alias("null_ratio"),
-                    )
-                    for name, null in zip(names, nulls)
-                ]
-            )
-        )
+    counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *present).select(
+        "n_rows",
+        F.posexplode(F.array(*[F.col(f"present_{i}") for i in range(len(names))])).alias(
+            POSITION, "n_present"
+        ),
     )
+    return named(counted, names).select("feature_name", *_null_columns())
 
 
 def approx_distinct(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.05) -> DataFrame:
-    """feature_name, distinct_non_null by sketches, one wide aggregate without a row shuffle."""
+    """feature_name, distinct_non_null by sketches that combine before the shuffle."""
     names = list(df.columns if columns is None else columns)
-    sketches = [F.approx_count_distinct(F.col(name), rsd).alias(f"d_{i}") for i, name in enumerate(names)]
-    return df.agg(*sketches).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("feature_name"), F.col(f"d_{i}").alias("distinct_non_null")
-                    )
-                    for i, name in enumerate(names)
-                ]
-            )
-        )
-    )
+    return column_stats(df, names, rsd).select("feature_name", "distinct_non_null")
 
 
 def exact_distinct(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,13 +117,16 @@ def rank_categories(counts: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
     """The ``top`` most frequent present values per feature, ties by value, with their position.
 
     The limit is applied in every task before the shuffle, so a feature with any
-    number of values sends ``top`` rows per task.
+    number of values sends ``top`` rows per task. NULL ranks last and is dropped
+    after the ranking: a filter before it would sink below the counts and keep
+    other uses of the same counts from sharing their shuffle.
     """
-    order = W.partitionBy("feature_name").orderBy(F.desc("n_rows"), F.asc("value"))
+    order = W.partitionBy("feature_name").orderBy(
+        F.col("value").isNull(), F.desc("n_rows"), F.asc("value")
+    )
     return (
-        counts.where(F.col("value").isNotNull())
-        .withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= top)
+        counts.withColumn("position", F.row_number().over(order))
+        .where((F.col("position") <= top) & F.col("value").isNotNull())
     )
 
 
@@ -117,13 +136,18 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = TOP_CATEGOR
 
 
 def category_coverage(counts: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame:
-    """feature_name, n_present, dominant_ratio, top_category_coverage from :func:`value_counts`.
+    """One row per feature of :func:`value_counts`.
 
-    Both ratios are 1.0 for a feature without values.
+    feature_name, n_rows, n_present, distinct_non_null, dominant_ratio (share of
+    the most frequent value), top_category_coverage (share of the ``top`` most
+    frequent ones). Both shares are 1.0 for a feature without values.
     """
     present = F.when(F.col("value").isNotNull(), F.col("n_rows"))
     totals = counts.groupBy("feature_name").agg(
-        F.coalesce(F.sum(present), F.lit(0)).alias("n_present"), F.max(present).alias("top_rows")
+        F.sum("n_rows").alias("n_rows"),
+        F.coalesce(F.sum(present), F.lit(0)).alias("n_present"),
+        F.count("value").alias("distinct_non_null"),
+        F.max(present).alias("top_rows"),
     )
     covered = (
         rank_categories(counts, top).groupBy("feature_name").agg(F.sum("n_rows").alias("covered_rows"))
@@ -132,9 +156,25 @@ def category_coverage(counts: DataFrame, top: int = TOP_CATEGORIES) -> DataFrame
     def share(rows: str) -> Column:
         return F.when(F.col("n_present") > 0, F.col(rows) / F.col("n_present")).otherwise(F.lit(1.0))
 
-    return totals.join(covered, "feature_name", "left").select(
+    return totals.join(F.broadcast(covered), "feature_name", "left").select(
         "feature_name",
+        "n_rows",
         "n_present",
+        "distinct_non_null",
         share("top_rows").alias("dominant_ratio"),
         share("covered_rows").alias("top_category_coverage"),
     )
+
+
+def exact_column_stats(
+    df: DataFrame, columns: Sequence[str], top: int = TOP_CATEGORIES
+) -> DataFrame:
+    """What :func:`column_stats` gives, exactly, and the category shares; one scan and one row shuffle."""
+    shares = category_coverage(value_counts(df, columns), top)
+    return names_table(df, columns).join(F.broadcast(shares), "feature_name", "left").select(
+        "feature_name",
+        *_null_columns(),
+        F.coalesce("distinct_non_null", F.lit(0)).alias("distinct_non_null"),
+        "dominant_ratio",
+        "top_category_coverage",
+    )

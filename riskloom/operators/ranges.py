@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskloom.operators.longform import POSITION, long_cells, named
+
 MAX_BUCKETS = 4096
 BUCKET_ROWS = 1_000_000
 BLOCK = 64
@@ -69,7 +71,7 @@ def _with_bucket(hist: DataFrame, value: str, edges: Edges, by: str | None) -> D
     if by:
         table = hist.sparkSession.createDataFrame(
             [(group, *_blocks(marks)) for group, marks in edges.items()],
-            f"{by} string, last_edges array<double>, blocks array<array<double>>",
+            f"{by} {hist.schema[by].dataType.simpleString()}, last_edges array<double>, blocks array<array<double>>",
         )
         hist = hist.join(F.broadcast(table), by)
         last_edges, blocks = F.col("last_edges"), F.col("blocks")
@@ -77,9 +79,13 @@ def _with_bucket(hist: DataFrame, value: str, edges: Edges, by: str | None) -> D
         last, parts = _blocks(edges[None])
         last_edges, blocks = _array(last), F.array(*[_array(part) for part in parts])
     number = F.col(value).cast("double")
+    inside = _below(F.get(blocks, F.col("block")), number)
+    # Never NULL, and declared so: a null filter pushed below the histogram on one
+    # side of the join would keep both sides from sharing its shuffle.
+    bucket = F.coalesce(F.col("block") * BLOCK + inside, F.lit(0))
     return (
-        hist.withColumn("block", _below(last_edges, number))
-        .withColumn("bucket", F.col("block") * BLOCK + _below(F.get(blocks, F.col("block")), number))
+        hist.withColumn("block", F.coalesce(_below(last_edges, number), F.lit(0)))
+        .withColumn("bucket", bucket)
         .drop("block", "last_edges", "blocks")
     )
 
@@ -101,8 +107,7 @@ def running_totals(
 ) -> DataFrame:
     """One row per distinct value (per group): its sums, and ``cum_<name>`` up to and including it.
 
-    Rows without a value are left out. ``by`` is a text column with few groups
-    (features). Runs one or two small aggregates to place the bucket edges.
+    Rows without a value are left out. ``by`` has few groups (one per feature). Runs one or two small aggregates to place the bucket edges.
     """
     keys = [by] if by else []
     edges = range_edges(df.where(F.col(value).isNotNull()), value, by, buckets)
@@ -150,22 +155,22 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = N
     NULL and NaN do not count. A column without values has no row.
     """
     cells = (
-        df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-        .unpivot([], list(columns), "feature_name", "value")
+        long_cells(df, [F.col(name).cast("double") for name in columns])
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .withColumn("n", F.lit(1).cast("bigint"))
     )
     totals = (
-        value_histogram(cells, "value", ["n"], "feature_name")
-        .groupBy("feature_name")
+        value_histogram(cells, "value", ["n"], POSITION)
+        .groupBy(POSITION)
         .agg(F.sum("n").alias("n_present"))
     )
-    running = running_totals(cells, "value", ["n"], by="feature_name", buckets=buckets)
-    return (
-        running.join(F.broadcast(totals), "feature_name")
+    running = running_totals(cells, "value", ["n"], by=POSITION, buckets=buckets)
+    medians = (
+        running.join(F.broadcast(totals), POSITION)
         .where(
             (F.col("cum_n") * 2 >= F.col("n_present"))
             & ((F.col("cum_n") - F.col("n")) * 2 < F.col("n_present"))
         )
-        .select("feature_name", F.col("value").alias("median"))
+        .select(POSITION, F.col("value").alias("median"))
     )
+    return named(medians, columns)

@@ -33,14 +33,15 @@ def class_counts(df: DataFrame, label: str = "label") -> dict[int, int]:
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """label, n_rows, class_weight = total / (2 x n_rows) for the classes 0 and 1; lazy."""
-    counts = (
-        df.where(F.col(label).isin(0, 1))
-        .groupBy(F.col(label).cast("int").alias("label"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    """label, n_rows, class_weight = total / (2 x n_rows) for the classes that occur; lazy."""
+    rows = F.array(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1))
+    counted = df.agg(rows.alias("rows"))
+    total = F.get("rows", F.lit(0)) + F.get("rows", F.lit(1))
+    return (
+        counted.select(total.alias("total"), F.posexplode("rows").alias("label", "n_rows"))
+        .where(F.col("n_rows") > 0)
+        .select("label", "n_rows", (F.col("total") / (F.col("n_rows") * 2)).alias("class_weight"))
     )
-    total = counts.agg(F.sum("n_rows")).scalar()
-    return counts.select("label", "n_rows", (total / (F.col("n_rows") * 2)).alias("class_weight"))
 
 
 def fit_class_weights(df: DataFrame, label: str = "label") -> dict[int, float]:

@@ -18,11 +18,10 @@ from riskloom.functions.categories import (
 )
 from riskloom.operators.profile import (
     TOP_CATEGORIES,
-    approx_distinct,
     category_coverage,
-    exact_distinct,
+    column_stats,
+    exact_column_stats,
     feature_columns,
-    null_profile,
     rank_categories,
     source_type,
     value_counts,
@@ -80,10 +79,9 @@ def profile_features(
 ) -> DataFrame:
     """One row per column: type, null ratio, distinct values, category shares and the decision.
 
-    Two passes whatever the number of columns: one wide aggregate for nulls and
-    distinct sketches, one count of the string values. ``distinct="exact"``
-    counts values of all columns, for decisions that must not vary by a sketch's
-    error. Category shares are NULL where an earlier rule has decided. Ratios
+    Two passes whatever the number of columns: one for nulls and distinct
+    sketches, one that counts the string values. ``distinct="exact"`` counts the
+    values of all columns, for decisions that must not vary by a sketch's error. Category shares are NULL where an earlier rule has decided. Ratios
     are decided on as they are and shown with six places.
     """
     if distinct not in ("approx", "exact"):
@@ -97,15 +95,22 @@ def profile_features(
         pairs = [F.lit(text) for pair in values.items() for text in pair]
         return F.element_at(F.create_map(*pairs), F.col("feature_name"))
 
-    distincts = approx_distinct(df, names) if distinct == "approx" else exact_distinct(df, names)
-    stats = null_profile(df, names).join(distincts, "feature_name", "left")
-    if strings:
-        shares = category_coverage(value_counts(df, strings), limits.top_keep).drop("n_present")
-        stats = stats.join(shares, "feature_name", "left")
+    if distinct == "exact":
+        stats = exact_column_stats(df, names, limits.top_keep)
     else:
-        empty = F.lit(None).cast("double")
-        stats = stats.withColumns({"dominant_ratio": empty, "top_category_coverage": empty})
-    undecided = (F.col("null_ratio") <= limits.null_ratio) & (F.col("distinct_non_null") > 1)
+        stats = column_stats(df, names)
+        if strings:
+            shares = category_coverage(value_counts(df, strings), limits.top_keep)
+            shares = shares.select("feature_name", "dominant_ratio", "top_category_coverage")
+            stats = stats.join(F.broadcast(shares), "feature_name", "left")
+        else:
+            none = F.lit(None).cast("double")
+            stats = stats.withColumns({"dominant_ratio": none, "top_category_coverage": none})
+    undecided = (
+        (look_up(kinds) == "string")
+        & (F.col("null_ratio") <= limits.null_ratio)
+        & (F.col("distinct_non_null") > 1)
+    )
     stats = stats.select(
         "feature_name",
         look_up(kinds).alias("source_type"),

@@ -150,7 +150,8 @@ def top_categories(spark, sf_dir):
        "CAST(sum(n_rows) FILTER (position <= 10) AS DOUBLE) / sum(n_rows) AS top_category_coverage "
        "FROM ranked GROUP BY feature_name")
 def category_coverage(spark, sf_dir):
-    return p.category_coverage(p.value_counts(wide(spark, sf_dir), STRINGS))
+    coverage = p.category_coverage(p.value_counts(wide(spark, sf_dir), STRINGS))
+    return coverage.select("feature_name", "n_present", "dominant_ratio", "top_category_coverage")
 
 
 @query("feature_profile", f"{WIDE_PROFILE} {PROFILE_OUT}")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.longform import POSITION, long_cells, names_table
+
 # Declared type -> Spark type; anything else is a string.
 DECLARED_TYPES = {
     "BIGINT": T.LongType(),
@@ -70,40 +72,40 @@ def infer_schema(
     """One row per text column: column_name, non_empty, inferred_type.
 
     All whole numbers that fit a long -> BIGINT, else all numbers -> NUMERIC,
-    else TEXT; a column without values is TEXT. All columns share one aggregate
-    over one scan. ``sample_rows`` looks at that many rows only, None at the
-    whole table. ``booleans`` names columns that may become BOOLEAN when they
-    hold nothing but True and False.
+    else TEXT; a column without values is TEXT. All columns go through the same
+    small aggregate in one scan. ``sample_rows`` looks at that many rows only,
+    None at the whole table. ``booleans`` names columns that may become BOOLEAN
+    when they hold nothing but True and False.
     """
     overrides = dict(overrides or {})
     booleans = set(booleans)
     source = df if sample_rows is None else df.limit(sample_rows)
-    measures = []
-    for index, name in enumerate(df.columns):
-        cell = _cell(name)
-        whole = cell.rlike(INTEGER_PATTERN) & cell.try_cast("bigint").isNotNull()
-        measures += [
-            F.count(cell).alias(f"seen_{index}"),
-            F.coalesce(F.bool_and(whole), F.lit(False)).alias(f"whole_{index}"),
-            F.coalesce(F.bool_and(cell.rlike(DECIMAL_PATTERN)), F.lit(False)).alias(f"number_{index}"),
-            F.coalesce(F.bool_and(cell.isin("True", "False")), F.lit(False)).alias(f"truth_{index}"),
-        ]
-    rows = []
-    for index, name in enumerate(df.columns):
-        inferred = F.when(F.lit(name in overrides), F.lit(overrides.get(name)))
-        if name in booleans:
-            inferred = inferred.when(F.col(f"truth_{index}"), F.lit("BOOLEAN"))
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"seen_{index}").alias("non_empty"),
-                inferred.when(F.col(f"whole_{index}"), F.lit("BIGINT"))
-                .when(F.col(f"number_{index}"), F.lit("NUMERIC"))
-                .otherwise(F.lit("TEXT"))
-                .alias("inferred_type"),
-            )
+    cell = F.col("value")
+    whole = cell.rlike(INTEGER_PATTERN) & cell.try_cast("bigint").isNotNull()
+    seen = (
+        long_cells(source, [_cell(name) for name in df.columns])
+        .groupBy(POSITION)
+        .agg(
+            F.count(cell).alias("non_empty"),
+            F.bool_and(whole).alias("whole"),
+            F.bool_and(cell.rlike(DECIMAL_PATTERN)).alias("number"),
+            F.bool_and(cell.isin("True", "False")).alias("truth"),
         )
-    return source.agg(*measures).select(F.inline(F.array(*rows)))
+    )
+    named_stats = names_table(df, df.columns, "column_name").join(seen, POSITION, "left")
+    name = F.col("column_name")
+    inferred = F.when(F.lit(False), F.lit(None).cast("string"))
+    for column, kind in overrides.items():
+        inferred = inferred.when(name == column, F.lit(kind))
+    return named_stats.select(
+        "column_name",
+        F.coalesce("non_empty", F.lit(0)).alias("non_empty"),
+        inferred.when(name.isin(*booleans) & F.col("truth"), "BOOLEAN")
+        .when(F.col("whole"), "BIGINT")
+        .when(F.col("number"), "NUMERIC")
+        .otherwise("TEXT")
+        .alias("inferred_type"),
+    ).orderBy(POSITION)
 
 
 def declared_types(inferred: DataFrame) -> dict[str, str]:
