@@ -84,6 +84,7 @@ def infer_schema(
     whole = cell.rlike(INTEGER_PATTERN) & cell.try_cast("bigint").isNotNull()
     seen = (
         long_cells(source, [_cell(name) for name in df.columns])
+        .where(cell.isNotNull())
         .groupBy(POSITION)
         .agg(
             F.count(cell).alias("non_empty"),
