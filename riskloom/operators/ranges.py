@@ -19,12 +19,18 @@ from pyspark.sql import functions as F
 from riskloom.operators.longform import POSITION, long_cells, named
 
 MAX_BUCKETS = 4096
-BUCKET_ROWS = 1_000_000
+SINGLE_ROWS = 1_000_000
+BUCKET_ROWS = 250_000
 BLOCK = 64
 
 Edges = Mapping[str | None, Sequence[float]]
 
 
+def plan_buckets(distinct: int) -> int:
+    """One range while one task can sort it, then one per quarter million distinct values."""
+    return 1 if distinct <= SINGLE_ROWS else min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1)
+
+
 def _array(numbers: Iterable[float]) -> Column:
     """Literal array, parsed in one go rather than built element by element."""
     items = [f"{float(number)!r}D" for number in numbers]
@@ -34,24 +40,20 @@ def _array(numbers: Iterable[float]) -> Column:
 def range_edges(df: DataFrame, value: str, by: str | None = None, buckets: int | None = None) -> Edges:
     """Bucket edges per group, at most 4095 numbers each. Runs one aggregate over ``df``.
 
-    Without ``buckets`` there are enough for about a million distinct values in
-    each, going by an estimate of how many there are.
+    Without ``buckets`` their number follows from an estimate of the distinct values.
     """
     number = F.col(value).cast("double")
     group = F.col(by) if by else F.lit(None).cast("string")
-    aggregates = [F.approx_count_distinct(number).alias("distinct")]
-    estimates = {
-        row["g"]: row["distinct"] for row in df.groupBy(group.alias("g")).agg(*aggregates).collect()
-    }
-    wanted = {g: buckets or min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1) for g, distinct in estimates.items()}
-    if all(count == 1 for count in wanted.values()):
-        return {g: () for g in wanted}
     marks = _array(i / MAX_BUCKETS for i in range(1, MAX_BUCKETS))
-    sketch = F.percentile_approx(number, marks, F.lit(10 * MAX_BUCKETS)).alias("marks")
+    sketches = df.groupBy(group.alias("g")).agg(
+        F.approx_count_distinct(number).alias("distinct"),
+        F.percentile_approx(number, marks, F.lit(10 * MAX_BUCKETS)).alias("marks"),
+    )
     edges = {}
-    for row in df.groupBy(group.alias("g")).agg(sketch).collect():
-        step = MAX_BUCKETS / wanted[row["g"]]
-        picked = {row["marks"][round(step * i) - 1] for i in range(1, wanted[row["g"]])}
+    for row in sketches.collect():
+        wanted = buckets or plan_buckets(row["distinct"])
+        step = MAX_BUCKETS / wanted
+        picked = {row["marks"][round(step * i) - 1] for i in range(1, wanted)}
         edges[row["g"]] = sorted(mark for mark in picked if math.isfinite(mark))
     return edges
 
@@ -152,25 +154,32 @@ def running_totals(
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """feature_name, median: the smallest value with half of the present values at or below it.
 
-    NULL and NaN do not count. A column without values has no row.
+    NULL and NaN do not count. A column without values has no row. Counts per
+    value range tell which range holds a column's median; only the values of
+    that range are sorted, so the rows themselves are never shuffled.
     """
-    cells = (
-        long_cells(df, [F.col(name).cast("double") for name in columns])
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .withColumn("n", F.lit(1).cast("bigint"))
+    number = F.col("value")
+    cells = long_cells(df, [F.col(name).cast("double") for name in columns]).where(
+        number.isNotNull() & ~F.isnan(number)
     )
-    totals = (
-        value_histogram(cells, "value", ["n"], POSITION)
-        .groupBy(POSITION)
-        .agg(F.sum("n").alias("n_present"))
+    edges = range_edges(cells, "value", POSITION, buckets)
+    placed = _with_bucket(cells, "value", edges, POSITION)
+
+    def half_reached(counts: DataFrame, key: str, before: Column, total: Column) -> DataFrame:
+        upto = W.partitionBy(POSITION).orderBy(key).rowsBetween(W.unboundedPreceding, 0)
+        running = counts.select("*", total.alias("total"), (before + F.sum("n").over(upto)).alias("cum"))
+        return running.where((F.col("cum") * 2 >= F.col("total")) & ((F.col("cum") - F.col("n")) * 2 < F.col("total")))
+
+    rows = F.count(F.lit(1)).alias("n")
+    per_range = placed.groupBy(POSITION, "bucket").agg(rows)
+    whole = F.sum("n").over(W.partitionBy(POSITION))
+    target = half_reached(per_range, "bucket", F.lit(0), whole).select(
+        POSITION, "bucket", (F.col("cum") - F.col("n")).alias("before"), F.col("total").alias("n_present")
     )
-    running = running_totals(cells, "value", ["n"], by=POSITION, buckets=buckets)
-    medians = (
-        running.join(F.broadcast(totals), POSITION)
-        .where(
-            (F.col("cum_n") * 2 >= F.col("n_present"))
-            & ((F.col("cum_n") - F.col("n")) * 2 < F.col("n_present"))
-        )
-        .select(POSITION, F.col("value").alias("median"))
+    inside = (
+        placed.join(F.broadcast(target), [POSITION, "bucket"])
+        .groupBy(POSITION, "before", "n_present", "value")
+        .agg(rows)
     )
-    return named(medians, columns)
+    medians = half_reached(inside, "value", F.col("before"), F.col("n_present"))
+    return named(medians.select(POSITION, F.col("value").alias("median")), columns)

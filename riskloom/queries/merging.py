@@ -8,6 +8,7 @@ from riskloom import views as v
 from riskloom.functions.categories import params_json
 from riskloom.operators import merge as g
 from riskloom.operators import report as r
+from riskloom.operators.models import prediction_export as export
 from riskloom.operators.quality import expected_names
 from riskloom.queries.registry import TXN, query
 
@@ -168,3 +169,10 @@ def aligned_predictions(spark, sf_dir):
 def prediction_sample(spark, sf_dir):
     """The first transaction with every model's answer."""
     return g.first_by_key(g.aligned_predictions(two_models(spark, sf_dir), ["amount", "k"]), "transactionid")
+
+
+@query("prediction_export",
+       f"WITH {TXN} SELECT CAST(is_fraud AS INT) AS label, CASE WHEN k >= 50 THEN 1 ELSE 0 END AS prediction FROM txn")
+def prediction_export(spark, sf_dir):
+    """Label and prediction of one scorer as whole numbers."""
+    return export(two_models(spark, sf_dir).where(F.col("model_name") == "k"))

@@ -9,6 +9,7 @@ from riskloom.operators import profile as p
 from riskloom.operators import selection as s
 from riskloom.operators.encode import impute_exact, string_index, varying_dimensions
 from riskloom.operators.ranges import exact_medians
+from riskloom.operators.report import decision_tile, rank_importances
 from riskloom.queries.registry import IDENTITY, TXN, query
 
 # Columns of the profiled frame: name -> (source type, Spark type).
@@ -175,8 +176,6 @@ def feature_decisions(spark, sf_dir):
 @query("tile_feature_decisions",
        f"{WIDE_PROFILE} SELECT inclusion_decision, count(*) AS sum_feature_count FROM decided GROUP BY 1")
 def tile_feature_decisions(spark, sf_dir):
-    from riskloom.operators.report import decision_tile
-
     return decision_tile(s.decision_counts(_profile(spark, sf_dir)))
 
 
@@ -223,11 +222,20 @@ def importance_rollup(spark, sf_dir):
     return s.source_importances(importances(spark, sf_dir))
 
 
+@query("valid_importances",
+       f"{IMPORTANCE_SQL} SELECT feature_name, importance FROM importances WHERE importance >= 100 AND feature_name NOT LIKE 'k%'")
+def valid_importances(spark, sf_dir):
+    """Importances as text, some blanked: rows without a name or a number go."""
+    blanked = importances(spark, sf_dir).select(
+        F.when(F.col("feature_name").startswith("k"), "").otherwise(F.col("feature_name")).alias("feature_name"),
+        F.when(F.col("importance") < 100, "").otherwise(F.col("importance").cast("string")).alias("importance"),
+    )
+    return s.valid_importances(blanked)
+
+
 @query("top_importances",
        f"{IMPORTANCE_SQL} SELECT * FROM importances ORDER BY importance DESC, feature_name LIMIT 20")
 def top_importances(spark, sf_dir):
-    from riskloom.operators.report import rank_importances
-
     return rank_importances(importances(spark, sf_dir), 20)
 
 

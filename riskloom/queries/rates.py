@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom import views as v
@@ -181,8 +182,6 @@ def amount_bands(spark, sf_dir):
        "row_number() OVER (ORDER BY fraud_rate DESC, productcd) AS position FROM rep")
 def ranked_rates(spark, sf_dir):
     """The report's order made visible: a position per row of the (one row per category) result."""
-    from pyspark.sql import Window as W
-
     report = x.rate_by_category(v.transactions(spark, sf_dir), CENTS)
     order = W.orderBy(F.desc("fraud_rate"), F.asc("productcd"))
     return report.select("productcd", "fraud_rate", F.row_number().over(order).cast("bigint").alias("position"))
@@ -244,3 +243,27 @@ def tile_daily_volume(spark, sf_dir):
 def tile_pair_rate(spark, sf_dir):
     report = x.rate_by_card_pair(v.card_partials(spark, sf_dir), CENTS, partials=True)
     return r.average_rate_tile(report, ["card4", "card6"])
+
+
+def _average(sql: str, keys: str) -> str:
+    return f"WITH rep AS ({sql}) SELECT {keys}, avg(fraud_rate) AS avg_fraud_rate FROM rep GROUP BY {keys}"
+
+
+@query("tile_category_rate", _average(CATEGORY_SQL, "productcd"))
+def tile_category_rate(spark, sf_dir):
+    return r.average_rate_tile(x.rate_by_category(v.transactions(spark, sf_dir), CENTS), ["productcd"])
+
+
+@query("tile_band_rate", _average(BAND_SQL, "amount_band"))
+def tile_band_rate(spark, sf_dir):
+    return r.average_rate_tile(x.rate_by_amount_band(v.transactions(spark, sf_dir), CENTS), ["amount_band"])
+
+
+@query("tile_domain_rate", _average(DOMAIN_SQL, "email_domain"))
+def tile_domain_rate(spark, sf_dir):
+    return r.average_rate_tile(x.top_domains_by_rate(v.transactions(spark, sf_dir), CENTS), ["email_domain"])
+
+
+@query("tile_daily_rate", _average(DAILY_SQL, "transaction_day"))
+def tile_daily_rate(spark, sf_dir):
+    return r.average_rate_tile(x.daily_rate(v.transactions(spark, sf_dir), CENTS), ["transaction_day"])

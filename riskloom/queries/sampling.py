@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import views as v
+from riskloom.functions.categories import weight_by_label
 from riskloom.operators import quality as q
 from riskloom.operators import sampling as s
 from riskloom.queries.registry import DOCS, TXN, md5_bucket, query
@@ -100,3 +101,27 @@ def fold_counts(spark, sf_dir):
 def fold_assignment(spark, sf_dir):
     folds = s.with_folds(v.transactions(spark, sf_dir), "transactionid", 3, portable=True)
     return folds.select("transactionid", "cv_fold")
+
+
+@query("weighted_rows",
+       f"WITH {TXN}, c AS (SELECT is_fraud AS label, count(*) AS n FROM txn GROUP BY 1) "
+       "SELECT transactionid, CAST((SELECT sum(n) FROM c) AS DOUBLE) / (2 * n) AS class_weight FROM txn JOIN c ON is_fraud = label")
+def weighted_rows(spark, sf_dir):
+    """Every row with the weight of its class; the two weights come to the driver."""
+    txn = v.transactions(spark, sf_dir)
+    weights = s.fit_class_weights(txn, "is_fraud")
+    return txn.select("transactionid", weight_by_label(F.col("is_fraud"), weights).alias("class_weight"))
+
+
+@query("training_fold_counts",
+       f"WITH {TXN}, f AS (SELECT least(1.0, CAST(count(*) FILTER (is_fraud = 1) AS DOUBLE) / count(*) FILTER (is_fraud = 0)) AS fraction FROM txn), "
+       f"kept AS (SELECT * FROM txn, f WHERE is_fraud = 1 OR {salted('balance')} < fraction * {RANGE}) "
+       f"SELECT {FOLD} AS cv_fold, is_fraud, count(*) AS n_rows FROM kept WHERE {salted('split')} < 0.7::DOUBLE * {RANGE} GROUP BY 1, 2")
+def training_fold_counts(spark, sf_dir):
+    """Balance, training part and folds in a row: three filters and one small count."""
+    kept = s.balanced_sample(
+        v.transactions(spark, sf_dir), "transactionid", "is_fraud", salt="balance", portable=True
+    )
+    train = kept.where(s.split_part("transactionid", portable=True) == 0)
+    folds = s.with_folds(train, "transactionid", 3, portable=True)
+    return folds.groupBy("cv_fold", "is_fraud").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import views as v
+from riskloom.functions.amounts import minor_units
 from riskloom.operators import cvlog as c
 from riskloom.operators import metrics as m
 from riskloom.operators.sampling import with_folds
@@ -144,6 +145,25 @@ def best_combo(spark, sf_dir):
     return c.best_combo(cv_means(spark, sf_dir))
 
 
+@query("best_logged",
+       f"{MEANS} SELECT model_name, CAST(combo_index AS INT) AS combo_index, metric_pr AS combo_mean_metric_pr, "
+       "concat('combo ', combo_index) AS params_json FROM (SELECT *, row_number() OVER "
+       "(PARTITION BY model_name ORDER BY metric_pr DESC, combo_index) AS r FROM means) WHERE r = 1")
+def best_logged(spark, sf_dir):
+    """The best summary row of a log that holds fold rows as well."""
+    folds = cv_folds(spark, sf_dir).select(
+        "model_name",
+        "combo_index",
+        F.col("fold_index").cast("string").alias("fold_index"),
+        F.col("fold_metric_pr").alias("combo_mean_metric_pr"),
+    )
+    summaries = cv_means(spark, sf_dir).select(
+        "model_name", "combo_index", F.lit("summary").alias("fold_index"), F.col("metric_pr").alias("combo_mean_metric_pr")
+    )
+    text = F.concat(F.lit("combo "), F.col("combo_index").cast("string")).alias("params_json")
+    return c.best_logged(folds.unionByName(summaries).select("*", text))
+
+
 @query("cv_eta", f"""WITH {TXN}, combos AS (
   SELECT productcd AS model_name, 1 + k % 9 AS combo_index, 9 AS combo_total, sum({cents('transactionamt')}) AS units
   FROM txn GROUP BY 1, 2
@@ -151,8 +171,6 @@ def best_combo(spark, sf_dir):
   {sql_six("CAST(sum(units) OVER w AS DOUBLE) / 100 / count(*) OVER w * (combo_total - combo_index)")} AS eta_seconds FROM combos
 WINDOW w AS (PARTITION BY model_name ORDER BY combo_index ROWS UNBOUNDED PRECEDING)""")
 def cv_eta(spark, sf_dir):
-    from riskloom.functions.amounts import minor_units
-
     combos = (
         v.transactions(spark, sf_dir)
         .groupBy(F.col("productcd").alias("model_name"), (F.col("k") % 9 + 1).alias("combo_index"))

@@ -10,6 +10,7 @@ from riskloom import views as v
 from riskloom.functions.categories import best_model_text, source_feature, strip_order_prefix, trimmed
 from riskloom.operators import quality as q
 from riskloom.plans import exploration as x
+from riskloom.plans.ingest import TableSpec, audit
 from riskloom.queries.rates import CATEGORY_SQL
 from riskloom.queries.registry import TXN, query
 from riskloom.session import scratch_path
@@ -66,6 +67,25 @@ def customers_without_events(spark, sf_dir):
     return q.fk_orphans(customers, v.table(spark, sf_dir, "events"), "c_custkey", "user_id")
 
 
+@query("key_audit",
+       "SELECT 'documents' AS table_name, 'null key' AS problem, count(*) AS n_rows FROM documents WHERE doc_id IS NULL "
+       "UNION ALL SELECT 'documents', 'duplicate key', count(*) FROM (SELECT doc_id FROM documents GROUP BY 1 HAVING count(*) > 1) "
+       "UNION ALL SELECT 'conversations', 'null key', count(*) FROM conversations WHERE conv_id IS NULL "
+       "UNION ALL SELECT 'conversations', 'duplicate key', count(*) FROM (SELECT conv_id FROM conversations GROUP BY 1 HAVING count(*) > 1) "
+       "UNION ALL SELECT 'conversations', 'no parent', count(*) FROM conversations WHERE conv_id NOT IN (SELECT doc_id FROM documents)")
+def key_audit(spark, sf_dir):
+    """The ingest audit over two tables, one of them a child with repeated keys."""
+    frames = {
+        "documents": v.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")),
+        "conversations": v.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id")),
+    }
+    specs = [
+        TableSpec("documents", "", key="id"),
+        TableSpec("conversations", "", key="id", parent="documents"),
+    ]
+    return audit(frames, specs)
+
+
 INTEGER = "'^[+-]?[0-9]+$'"
 NUMBER = "'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 

@@ -25,6 +25,9 @@ def local_session(app: str = "riskloom", cores: int | str = 8, **conf: str) -> S
     return spark
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -35,6 +38,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _OWN_FOLDERS:
+            _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="riskloom-")
+        base = _OWN_FOLDERS[application]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

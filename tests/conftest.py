@@ -19,7 +19,6 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": f"{work}/warehouse",
-            "spark.checkpoint.dir": f"{work}/checkpoints",
             "spark.driver.memory": "4g",
         },
     )
