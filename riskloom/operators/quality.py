@@ -28,6 +28,28 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
     return child.where(F.col(key).isNotNull()).join(known, key, "left_anti")
 
 
+def key_problems(child: DataFrame, key: str, parent: DataFrame | None = None) -> DataFrame:
+    """problem, n_rows: rows without a key, keys that repeat and, given a parent, rows without one.
+
+    Everything comes from one count per key, so a key shared by many rows is
+    one row before it is compared with the parent's keys.
+    """
+    n, present = F.col("n_rows"), F.col(key).isNotNull()
+    counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    own = counts.agg(
+        total(F.when(~present, n)).alias("null key"), F.count_if(present & (n > 1)).alias("duplicate key")
+    ).unpivot([], ["null key", "duplicate key"], "problem", "n_rows")
+    if parent is None:
+        return own
+    known = parent.groupBy(key).agg(F.count(F.lit(1)).alias("n_known")).select(key)
+    orphans = counts.join(known, key, "left_anti").agg(total(F.when(present, n)).alias("n_rows"))
+    return own.unionByName(orphans.select(F.lit("no parent").alias("problem"), "n_rows"))
+
+
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
 

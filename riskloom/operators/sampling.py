@@ -46,7 +46,11 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def fit_class_weights(df: DataFrame, label: str = "label") -> dict[int, float]:
     """Weights of both classes on the driver; an error unless both occur. Runs one aggregate."""
-    counts = class_counts(df, label)
+    return weights_of(class_counts(df, label))
+
+
+def weights_of(counts: Mapping[int, int]) -> dict[int, float]:
+    """Weights from the rows per class; an error unless both occur."""
     if not counts[0] or not counts[1]:
         raise ValueError(f"expected both classes, found {counts}")
     total = counts[0] + counts[1]
@@ -176,5 +180,21 @@ def split(
     return [df.where(part == number) for number in range(len(weights))]
 
 
+def training_partitions(rows: int, parallelism: int) -> int:
+    """Partitions for rows that will be read many times.
+
+    Few thousand rows each until every core has two, then a quarter million
+    each: a sample drawn from a huge table must not keep that table's
+    partitions, nor a small one sit in a single task.
+    """
+    return max(1, min(rows // 4_000, 2 * parallelism), rows // 250_000)
+
+
+def placed_by_key(df: DataFrame, keys: Keys, partitions: int) -> DataFrame:
+    """The same rows in the same order in the same partition, wherever they came from."""
+    names = [keys] if isinstance(keys, str) else list(keys)
+    return df.repartition(partitions, *names).sortWithinPartitions(*names)
+
+
 def with_folds(df: DataFrame, keys: Keys, folds: int = 3, portable: bool = False) -> DataFrame:
     return df.withColumn("cv_fold", fold_id(keys, folds, portable))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.quality import fk_orphans, null_keys, pk_duplicates
+from riskloom.operators.quality import key_problems
 from riskloom.sources.schema import (
     SAMPLE_ROWS,
     cast_to_schema,
@@ -47,17 +47,9 @@ def audit(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFr
     """table_name, problem, n_rows for broken keys; one row per table and kind of problem."""
     parts = []
     for spec in specs:
-        key = spec.key.lower()
-        frame = tables[spec.name]
-        found = {"null key": null_keys(frame, key), "duplicate key": pk_duplicates(frame, key)}
-        if spec.parent:
-            found["no parent"] = fk_orphans(frame, tables[spec.parent], key)
-        for problem, rows in found.items():
-            parts.append(
-                rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                    F.lit(spec.name).alias("table_name"), F.lit(problem).alias("problem"), "n_rows"
-                )
-            )
+        parent = tables[spec.parent] if spec.parent else None
+        found = key_problems(tables[spec.name], spec.key.lower(), parent)
+        parts.append(found.select(F.lit(spec.name).alias("table_name"), "problem", "n_rows"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

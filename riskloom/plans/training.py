@@ -25,7 +25,15 @@ from riskloom.operators.models import (
     score,
 )
 from riskloom.operators.report import model_comparison
-from riskloom.operators.sampling import balance, fit_class_weights, smoke_sample, split
+from riskloom.operators.sampling import (
+    balance,
+    class_counts,
+    placed_by_key,
+    smoke_sample,
+    split,
+    training_partitions,
+    weights_of,
+)
 from riskloom.operators.selection import (
     FeaturePlan,
     Thresholds,
@@ -35,6 +43,7 @@ from riskloom.operators.selection import (
 )
 from riskloom.sources.sinks import export_csv, export_jsonl
 
+KEY = "transactionid"
 METRIC_SCHEMA = (
     "model_name string, cv_metric_pr double, test_auc_roc double, test_auc_pr double, "
     "test_f1 double, test_accuracy double, best_params_json string"
@@ -82,7 +91,7 @@ def thresholds(settings: TrainingSettings) -> Thresholds:
 
 
 def balanced_split(
-    frame: DataFrame, settings: TrainingSettings, key: str = "transactionid"
+    frame: DataFrame, settings: TrainingSettings, key: str = KEY
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test part of the reduced frame; filters on the key's hash, nothing is stored."""
     salt = str(settings.seed)
@@ -112,10 +121,17 @@ def encode_split(
 ) -> EncodedSplit:
     """Learn columns, categories, weights and encoders on ``train`` alone; apply them to both.
 
-    The training part is read several times while fitting and is kept on disk
-    meanwhile; the vectors stay cached until the result is released.
+    Both parts are placed by their key, so a fit sees the same partitions
+    whatever the source's. The training part is read several times while fitting
+    and is kept on disk meanwhile; the vectors stay cached until released.
     """
-    train = train.persist(StorageLevel.DISK_ONLY)
+    counts = class_counts(train)
+    weights = weights_of(counts)
+    partitions = settings.partitions or training_partitions(
+        sum(counts.values()), train.sparkSession.sparkContext.defaultParallelism
+    )
+    train = placed_by_key(train, KEY, partitions).persist(StorageLevel.DISK_ONLY)
+    test = placed_by_key(test, KEY, partitions)
     try:
         profile = profile_features(train, limits=thresholds(settings)).persist()
         plan = fit_feature_plan(
@@ -126,7 +142,6 @@ def encode_split(
             settings.max_numeric,
             settings.max_string,
         )
-        weights = fit_class_weights(train)
         prepared = prepare_features(train, plan, weights)
         pipeline, inputs = build_pipeline(
             plan.numeric, plan.strings, settings.strategy, settings.imputer_batch
@@ -137,10 +152,8 @@ def encode_split(
             StorageLevel.MEMORY_AND_DISK
         )
         train_vectors.count()
-        first = train_vectors.select("features").first()
-        if first is None:
-            raise ValueError("the training split is empty")
-        names = feature_names(train_vectors, first["features"].size, inputs)
+        size = train_vectors.select("features").first()["features"].size
+        names = feature_names(train_vectors, size, inputs)
     finally:
         train.unpersist()
     return EncodedSplit(train_vectors, test_vectors, profile, plan, model, names)

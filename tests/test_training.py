@@ -271,3 +271,23 @@ def test_prediction_check(spark):
     for bad in (good.limit(0), good.select("prediction", "label"), good.withColumn("x", F.lit(1))):
         with pytest.raises(ValueError):
             check_predictions(bad)
+
+
+def test_partitions_follow_the_rows():
+    from riskloom.operators.sampling import training_partitions
+
+    assert training_partitions(0, 8) == 1
+    assert training_partitions(28_000, 8) == 7
+    assert training_partitions(1_000_000, 8) == 16
+    assert training_partitions(10**9, 8) == 4000
+
+
+def test_training_does_not_depend_on_source_partitions(frame):
+    settings = m.TrainingSettings(partitions=3)
+    encoded = [encode_split(part, part.limit(0), settings) for part in (frame, frame.repartition(9))]
+    models = [m.build_estimator("rf", m.TrainingSettings(mode="smoke")).fit(e.train) for e in encoded]
+    importances = [model.featureImportances.toArray().tolist() for model in models]
+    assert encoded[0].names == encoded[1].names and importances[0] == importances[1]
+    for e_ in encoded:
+        for part in (e_.train, e_.test, e_.profile):
+            part.unpersist()
