@@ -1,10 +1,10 @@
-"""Running totals over an ordered value without sending all rows to one task.
+"""Running totals and medians over an ordered value without sending all rows to one task.
 
-Rows are first reduced to one row per distinct value. Edges taken from a
-quantile sketch cut the value range into buckets; totals per bucket give each
-bucket its starting point, and a window inside each bucket does the rest. Edges
-decide only how evenly the work spreads, never a result, and they are literals
-by the time rows are assigned, so a recomputed task puts its rows where they were.
+Edges taken from a quantile sketch cut the value range into buckets; totals per
+bucket give each bucket its starting point, and only inside a bucket are values
+sorted. Edges decide how evenly the work spreads, never a result, and they are
+fixed numbers by the time rows are assigned, so a recomputed task puts its rows
+where they were.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,35 +20,37 @@ from pyspark.sql import functions as F
 from riskloom.operators.longform import POSITION, long_cells, named
 
 MAX_BUCKETS = 4096
-SINGLE_ROWS = 1_000_000
-BUCKET_ROWS = 250_000
-BLOCK = 64
-
-Edges = Mapping[str | None, Sequence[float]]
+SINGLE_ROWS = 50_000
+BUCKET_ROWS = 20_000
 
 
 def plan_buckets(distinct: int) -> int:
-    """One range while one task can sort it, then one per quarter million distinct values."""
+    """One range while one task sorts it at once, then one per twenty thousand distinct values."""
     return 1 if distinct <= SINGLE_ROWS else min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1)
 
 
+def _number(value: Column) -> Column:
+    """The value as a double, with one zero."""
+    return value.cast("double") + F.lit(0.0)
+
+
 def _array(numbers: Iterable[float]) -> Column:
     """Literal array, parsed in one go rather than built element by element."""
-    items = [f"{float(number)!r}D" for number in numbers]
-    return F.expr(f"array({', '.join(items)})") if items else F.expr("cast(array() as array<double>)")
+    return F.expr(f"array({', '.join(f'{number!r}D' for number in numbers)})")
 
 
-def range_edges(df: DataFrame, value: str, by: str | None = None, buckets: int | None = None) -> Edges:
+def range_edges(
+    df: DataFrame, value: str, by: str | None = None, buckets: int | None = None
+) -> Mapping[int | None, Sequence[float]]:
     """Bucket edges per group, at most 4095 numbers each. Runs one aggregate over ``df``.
 
     Without ``buckets`` their number follows from an estimate of the distinct values.
     """
-    number = F.col(value).cast("double")
-    group = F.col(by) if by else F.lit(None).cast("string")
+    group = F.col(by) if by else F.lit(None).cast("int")
     marks = _array(i / MAX_BUCKETS for i in range(1, MAX_BUCKETS))
     sketches = df.groupBy(group.alias("g")).agg(
-        F.approx_count_distinct(number).alias("distinct"),
-        F.percentile_approx(number, marks, F.lit(10 * MAX_BUCKETS)).alias("marks"),
+        F.approx_count_distinct(value).alias("distinct"),
+        F.percentile_approx(_number(F.col(value)), marks, F.lit(10 * MAX_BUCKETS)).alias("marks"),
     )
     edges = {}
     for row in sketches.collect():
@@ -58,75 +61,47 @@ def range_edges(df: DataFrame, value: str, by: str | None = None, buckets: int |
     return edges
 
 
-def _blocks(edges: Sequence[float]) -> tuple[list[float], list[list[float]]]:
-    """Edges in blocks, and the last edge of every block but the final one."""
-    blocks = [list(edges[i : i + BLOCK]) for i in range(0, len(edges), BLOCK)] or [[]]
-    return [block[-1] for block in blocks[:-1]], blocks
+def _splits(edges: Sequence[float]) -> list[float]:
+    """Edges as the bounds of a bucketizer, which needs at least two ranges."""
+    return [float("-inf"), *(edges or [0.0]), float("inf")]
 
 
-def _below(edges: Column, value: Column) -> Column:
-    return F.size(F.filter(edges, lambda edge: edge < value))
-
-
-def _with_bucket(hist: DataFrame, value: str, edges: Edges, by: str | None) -> DataFrame:
-    """Add ``bucket``: how many edges lie below the value. Two short searches per row."""
-    if by:
-        table = hist.sparkSession.createDataFrame(
-            [(group, *_blocks(marks)) for group, marks in edges.items()],
-            f"{by} {hist.schema[by].dataType.simpleString()}, last_edges array<double>, blocks array<array<double>>",
-        )
-        hist = hist.join(F.broadcast(table), by)
-        last_edges, blocks = F.col("last_edges"), F.col("blocks")
-    else:
-        last, parts = _blocks(edges[None])
-        last_edges, blocks = _array(last), F.array(*[_array(part) for part in parts])
-    number = F.col(value).cast("double")
-    inside = _below(F.get(blocks, F.col("block")), number)
-    # Never NULL, and declared so: a null filter pushed below the histogram on one
-    # side of the join would keep both sides from sharing its shuffle.
-    bucket = F.coalesce(F.col("block") * BLOCK + inside, F.lit(0))
-    return (
-        hist.withColumn("block", F.coalesce(_below(last_edges, number), F.lit(0)))
-        .withColumn("bucket", bucket)
-        .drop("block", "last_edges", "blocks")
-    )
-
-
-def value_histogram(df: DataFrame, value: str, sums: Sequence[str], by: str | None = None) -> DataFrame:
-    """Sums per distinct present value (per group); a value shared by many rows combines before the shuffle."""
-    keys = [by] if by else []
+def value_histogram(df: DataFrame, value: str, sums: Sequence[str]) -> DataFrame:
+    """Sums per distinct present value; a value shared by many rows combines before the shuffle."""
     present = df.where(F.col(value).isNotNull())
-    return present.groupBy(*keys, value).agg(*[F.sum(name).alias(name) for name in sums])
+    return present.groupBy(value).agg(*[F.sum(name).alias(name) for name in sums])
 
 
 def running_totals(
     df: DataFrame,
     value: str,
     sums: Sequence[str],
-    by: str | None = None,
     descending: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One row per distinct value (per group): its sums, and ``cum_<name>`` up to and including it.
+    """One row per distinct value: its sums, and ``cum_<name>`` up to and including it.
 
-    Rows without a value are left out. ``by`` has few groups (one per feature). Runs one or two small aggregates to place the bucket edges.
+    Rows without a value are left out. Runs one aggregate to place the bucket edges.
     """
-    keys = [by] if by else []
-    edges = range_edges(df.where(F.col(value).isNotNull()), value, by, buckets)
-    hist = value_histogram(df, value, sums, by)
+    edges = range_edges(df.where(F.col(value).isNotNull()), value, buckets=buckets).get(None, ())
+    hist = value_histogram(df, value, sums)
     direction = F.desc if descending else F.asc
-
-    if all(not marks for marks in edges.values()):
-        upto = W.partitionBy(*keys).orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
+    if not edges:
+        upto = W.orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
         return hist.select("*", *[F.sum(name).over(upto).alias(f"cum_{name}") for name in sums])
 
-    placed = _with_bucket(hist, value, edges, by)
-    before = W.partitionBy(*keys).orderBy(direction("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    # The bucket is never NULL, and declared so: a null filter pushed below the
+    # histogram on one side of the join would keep the sides from sharing its shuffle.
+    placed = (
+        Bucketizer(splits=_splits(edges), inputCol="number", outputCol="range", handleInvalid="keep")
+        .transform(hist.withColumn("number", _number(F.col(value))))
+        .select(value, *sums, F.coalesce(F.col("range").cast("int"), F.lit(0)).alias("bucket"))
+    )
+    before = W.orderBy(direction("bucket")).rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(*keys, "bucket")
+        placed.groupBy("bucket")
         .agg(*[F.sum(name).alias(f"total_{name}") for name in sums])
         .select(
-            *keys,
             "bucket",
             *[
                 F.coalesce(F.sum(f"total_{name}").over(before), F.lit(0)).alias(f"start_{name}")
@@ -134,20 +109,11 @@ def running_totals(
             ],
         )
     )
-    inside = (
-        W.partitionBy(*keys, "bucket").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return (
-        placed.join(F.broadcast(starts), [*keys, "bucket"])
-        .select(
-            *keys,
-            value,
-            *sums,
-            *[
-                (F.col(f"start_{name}") + F.sum(name).over(inside)).alias(f"cum_{name}")
-                for name in sums
-            ],
-        )
+    inside = W.partitionBy("bucket").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
+    return placed.join(F.broadcast(starts), "bucket").select(
+        value,
+        *sums,
+        *[(F.col(f"start_{name}") + F.sum(name).over(inside)).alias(f"cum_{name}") for name in sums],
     )
 
 
@@ -156,24 +122,37 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = N
 
     NULL and NaN do not count. A column without values has no row. Counts per
     value range tell which range holds a column's median; only the values of
-    that range are sorted, so the rows themselves are never shuffled.
+    that range are sorted, so the rows themselves are never shuffled. Runs one
+    aggregate to place the edges.
     """
+    spots = range(len(columns))
+    numbers = df.select(*[_number(F.col(name)).alias(f"v{i}") for i, name in enumerate(columns)])
     number = F.col("value")
-    cells = long_cells(df, [F.col(name).cast("double") for name in columns]).where(
-        number.isNotNull() & ~F.isnan(number)
-    )
-    edges = range_edges(cells, "value", POSITION, buckets)
-    placed = _with_bucket(cells, "value", edges, POSITION)
+    present = number.isNotNull() & ~F.isnan(number)
+    edges = range_edges(long_cells(numbers, [F.col(f"v{i}") for i in spots]).where(present), "value", POSITION, buckets)
+    if any(edges.values()):
+        bucketizer = Bucketizer(
+            splitsArray=[_splits(edges.get(i, ())) for i in spots],
+            inputCols=[f"v{i}" for i in spots],
+            outputCols=[f"r{i}" for i in spots],
+            handleInvalid="keep",
+        )
+        numbers = bucketizer.transform(numbers)
+        ranges = [F.coalesce(F.col(f"r{i}").cast("int"), F.lit(0)) for i in spots]
+    else:
+        ranges = [F.lit(0)] * len(columns)
+    cells = [F.struct(F.col(f"v{i}").alias("value"), ranges[i].alias("bucket")) for i in spots]
+    placed = long_cells(numbers, cells, "cell").select(POSITION, "cell.*").where(present)
 
     def half_reached(counts: DataFrame, key: str, before: Column, total: Column) -> DataFrame:
         upto = W.partitionBy(POSITION).orderBy(key).rowsBetween(W.unboundedPreceding, 0)
         running = counts.select("*", total.alias("total"), (before + F.sum("n").over(upto)).alias("cum"))
-        return running.where((F.col("cum") * 2 >= F.col("total")) & ((F.col("cum") - F.col("n")) * 2 < F.col("total")))
+        reached = F.col("cum") * 2 >= F.col("total")
+        return running.where(reached & ((F.col("cum") - F.col("n")) * 2 < F.col("total")))
 
     rows = F.count(F.lit(1)).alias("n")
-    per_range = placed.groupBy(POSITION, "bucket").agg(rows)
     whole = F.sum("n").over(W.partitionBy(POSITION))
-    target = half_reached(per_range, "bucket", F.lit(0), whole).select(
+    target = half_reached(placed.groupBy(POSITION, "bucket").agg(rows), "bucket", F.lit(0), whole).select(
         POSITION, "bucket", (F.col("cum") - F.col("n")).alias("before"), F.col("total").alias("n_present")
     )
     inside = (

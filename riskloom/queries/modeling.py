@@ -18,7 +18,9 @@ SMOKE = m.TrainingSettings(mode="smoke", smoke_fraction=1.0)
 
 
 def _frame(spark, sf_dir):
-    return modeling_frame(v.transactions_with_cards(spark, sf_dir), v.identity(spark, sf_dir))
+    """The modelling frame without ``k``, which decides the label."""
+    transactions = v.transactions_with_cards(spark, sf_dir).drop("k")
+    return modeling_frame(transactions, v.identity(spark, sf_dir))
 
 
 def _vectors(spark, sf_dir):

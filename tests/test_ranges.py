@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import f1_accuracy, ranking_metrics, roc_points, score_points
-from riskloom.operators.ranges import _blocks, exact_medians, range_edges, running_totals
+from riskloom.operators.ranges import exact_medians, range_edges, running_totals
 
 
 def brute_totals(rows, descending):
@@ -40,14 +40,6 @@ def test_running_totals(spark, skewed, buckets, descending):
     assert {row["v"]: (row["n"], row["cum_n"]) for row in got} == brute_totals(skewed, descending)
 
 
-def test_running_totals_per_group(spark, skewed):
-    rows = [("a", v, n) for v, n in skewed] + [("b", 1.0, 2), ("b", 3.0, 4)]
-    df = spark.createDataFrame(rows, "g string, v double, n long")
-    got = running_totals(df, "v", ["n"], by="g", buckets=90).collect()
-    assert {r["v"]: (r["n"], r["cum_n"]) for r in got if r["g"] == "a"} == brute_totals(skewed, False)
-    assert {r["v"]: (r["n"], r["cum_n"]) for r in got if r["g"] == "b"} == {1.0: (2, 2), 3.0: (4, 6)}
-
-
 def test_ranges_spread_distinct_values(spark, skewed):
     df = spark.createDataFrame(skewed, "v double, n long").where("v IS NOT NULL")
     edges = range_edges(df, "v", buckets=32)[None]
@@ -57,14 +49,6 @@ def test_ranges_spread_distinct_values(spark, skewed):
     assert max(sizes) <= len(values) // 5
 
 
-def test_blocks_hold_all_edges():
-    edges = list(range(130))
-    last, blocks = _blocks(edges)
-    assert [e for block in blocks for e in block] == edges
-    assert last == [63, 127]
-    assert _blocks([]) == ([], [[]])
-
-
 def test_empty_input(spark):
     df = spark.createDataFrame([], "v double, n long")
     assert running_totals(df, "v", ["n"]).collect() == []
