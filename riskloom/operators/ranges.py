@@ -20,13 +20,12 @@ from pyspark.sql import functions as F
 from riskloom.operators.longform import POSITION, long_cells, named
 
 MAX_BUCKETS = 4096
-SINGLE_ROWS = 50_000
 BUCKET_ROWS = 20_000
 
 
-def plan_buckets(distinct: int) -> int:
-    """One range while one task sorts it at once, then one per twenty thousand distinct values."""
-    return 1 if distinct <= SINGLE_ROWS else min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1)
+def plan_buckets(distinct: int, single: int) -> int:
+    """One range for up to ``single`` distinct values, then one per twenty thousand."""
+    return 1 if distinct <= single else min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1)
 
 
 def _number(value: Column) -> Column:
@@ -40,7 +39,7 @@ def _array(numbers: Iterable[float]) -> Column:
 
 
 def range_edges(
-    df: DataFrame, value: str, by: str | None = None, buckets: int | None = None
+    df: DataFrame, value: str, by: str | None = None, buckets: int | None = None, single: int = 50_000
 ) -> Mapping[int | None, Sequence[float]]:
     """Bucket edges per group, at most 4095 numbers each. Runs one aggregate over ``df``.
 
@@ -54,7 +53,7 @@ def range_edges(
     )
     edges = {}
     for row in sketches.collect():
-        wanted = buckets or plan_buckets(row["distinct"])
+        wanted = buckets or plan_buckets(row["distinct"], single)
         step = MAX_BUCKETS / wanted
         picked = {row["marks"][round(step * i) - 1] for i in range(1, wanted)}
         edges[row["g"]] = sorted(mark for mark in picked if math.isfinite(mark))
@@ -83,7 +82,8 @@ def running_totals(
 
     Rows without a value are left out. Runs one aggregate to place the bucket edges.
     """
-    edges = range_edges(df.where(F.col(value).isNotNull()), value, buckets=buckets).get(None, ())
+    present = df.where(F.col(value).isNotNull())
+    edges = range_edges(present, value, buckets=buckets, single=300_000).get(None, ())
     hist = value_histogram(df, value, sums)
     direction = F.desc if descending else F.asc
     if not edges:

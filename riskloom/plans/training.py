@@ -41,6 +41,7 @@ from riskloom.operators.selection import (
     prepare_features,
     profile_features,
 )
+from riskloom.session import checkpointed
 from riskloom.sources.sinks import export_csv, export_jsonl
 
 KEY = "transactionid"
@@ -122,40 +123,38 @@ def encode_split(
     """Learn columns, categories, weights and encoders on ``train`` alone; apply them to both.
 
     Both parts are placed by their key, so a fit sees the same partitions
-    whatever the source's. The training part is read several times while fitting
-    and is kept on disk meanwhile; the vectors stay cached until released.
+    whatever the source's, and checkpointed: fits read them many times, and a
+    lost executor must not send them back to the sources. The vectors and the
+    profile stay cached until released.
     """
     counts = class_counts(train)
     weights = weights_of(counts)
     partitions = settings.partitions or training_partitions(
         sum(counts.values()), train.sparkSession.sparkContext.defaultParallelism
     )
-    train = placed_by_key(train, KEY, partitions).persist(StorageLevel.DISK_ONLY)
-    test = placed_by_key(test, KEY, partitions)
-    try:
-        profile = profile_features(train, limits=thresholds(settings)).persist()
-        plan = fit_feature_plan(
-            train,
-            profile,
-            thresholds(settings),
-            scores if settings.prune_by_importance else None,
-            settings.max_numeric,
-            settings.max_string,
-        )
-        prepared = prepare_features(train, plan, weights)
-        pipeline, inputs = build_pipeline(
-            plan.numeric, plan.strings, settings.strategy, settings.imputer_batch
-        )
-        model = pipeline.fit(prepared)
-        train_vectors = vectorize(model, prepared).persist(StorageLevel.MEMORY_AND_DISK)
-        test_vectors = vectorize(model, prepare_features(test, plan, weights)).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        train_vectors.count()
-        size = train_vectors.select("features").first()["features"].size
-        names = feature_names(train_vectors, size, inputs)
-    finally:
-        train.unpersist()
+    train = checkpointed(placed_by_key(train, KEY, partitions))
+    test = checkpointed(placed_by_key(test, KEY, partitions))
+    profile = profile_features(train, limits=thresholds(settings)).persist()
+    plan = fit_feature_plan(
+        train,
+        profile,
+        thresholds(settings),
+        scores if settings.prune_by_importance else None,
+        settings.max_numeric,
+        settings.max_string,
+    )
+    prepared = prepare_features(train, plan, weights)
+    pipeline, inputs = build_pipeline(
+        plan.numeric, plan.strings, settings.strategy, settings.imputer_batch
+    )
+    model = pipeline.fit(prepared)
+    train_vectors = vectorize(model, prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    test_vectors = vectorize(model, prepare_features(test, plan, weights)).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    train_vectors.count()
+    size = train_vectors.select("features").first()["features"].size
+    names = feature_names(train_vectors, size, inputs)
     return EncodedSplit(train_vectors, test_vectors, profile, plan, model, names)
 
 

@@ -17,7 +17,7 @@ from riskloom.queries.registry import query
 SMOKE = m.TrainingSettings(mode="smoke", smoke_fraction=1.0)
 
 
-def _frame(spark, sf_dir):
+def training_frame(spark, sf_dir):
     """The modelling frame without ``k``, which decides the label."""
     transactions = v.transactions_with_cards(spark, sf_dir).drop("k")
     return modeling_frame(transactions, v.identity(spark, sf_dir))
@@ -53,7 +53,7 @@ def rf_predictions(spark, sf_dir):
 @query("encoded_vectors")
 def encoded_vectors(spark, sf_dir):
     """The fitted preprocessing pipeline over the whole modelling frame: vector sizes and names."""
-    frame = _frame(spark, sf_dir)
+    frame = training_frame(spark, sf_dir)
     plan = fit_feature_plan(frame, profile_features(frame))
     prepared = prepare_features(frame, plan, fit_class_weights(frame))
     pipeline, inputs = build_pipeline(plan.numeric, plan.strings)
@@ -66,7 +66,7 @@ def encoded_vectors(spark, sf_dir):
 @query("importances")
 def importances(spark, sf_dir):
     """Forest importances with the names of the encoded dimensions."""
-    train, test = split(_frame(spark, sf_dir), "transactionid")
+    train, test = split(training_frame(spark, sf_dir), "transactionid")
     encoded = encode_split(train, test, SMOKE)
     model = m.build_estimator("rf", SMOKE).fit(encoded.train)
     encoded.train.unpersist(), encoded.test.unpersist(), encoded.profile.unpersist()
@@ -84,7 +84,7 @@ def cv_log(spark, sf_dir):
 @query("training_metrics")
 def training_metrics(spark, sf_dir):
     """The whole training flow with both models in smoke size."""
-    result = train_models(_frame(spark, sf_dir), SMOKE)
+    result = train_models(training_frame(spark, sf_dir), SMOKE)
     result.release()
     return result.metrics
 

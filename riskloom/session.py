@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "riskloom", cores: int | str = 8, **conf: str) -> SparkSession:
@@ -43,3 +43,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="riskloom-")
         base = _OWN_FOLDERS[application]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows and partitions, stored in the shared folder and without their lineage.
+
+    Runs the query once. What is computed from the result survives the loss of
+    executors without going back to the sources.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
