@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from riskloom.operators.longform import POSITION, long_cells, named, names_table
 
 TOP_CATEGORIES = 10
+DIGEST_LENGTH = 64
 
 
 def source_type(data_type: T.DataType) -> str:
@@ -39,14 +40,21 @@ def _fingerprint(df: DataFrame, name: str) -> Column:
     return F.when(column.isNotNull(), F.lit(1).cast("bigint") if unhashable else F.xxhash64(column))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], digest: bool = False) -> DataFrame:
     """feature_name, value, n_rows for all the columns at once, NULL values included.
 
     One pass: columns are turned into rows and counted before the shuffle, so a
-    value held by a third of all rows travels as one row per task.
+    value held by a third of all rows travels as one row per task. With
+    ``digest`` a value longer than its SHA-256 is replaced by it: enough where
+    only the counts matter, and whole texts stay out of the shuffle.
     """
+
+    def cell(name: str) -> Column:
+        text = _as_text(df, name)
+        return F.when(F.length(text) > DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text) if digest else text
+
     counts = (
-        long_cells(df, [_as_text(df, name) for name in columns])
+        long_cells(df, [cell(name) for name in columns])
         .groupBy(POSITION, "value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -107,7 +115,7 @@ def exact_distinct(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """feature_name, distinct_non_null, exact."""
     names = list(df.columns if columns is None else columns)
     return (
-        value_counts(df, names)
+        value_counts(df, names, digest=True)
         .groupBy("feature_name")
         .agg(F.count("value").alias("distinct_non_null"))
     )
@@ -170,7 +178,7 @@ def exact_column_stats(
     df: DataFrame, columns: Sequence[str], top: int = TOP_CATEGORIES
 ) -> DataFrame:
     """What :func:`column_stats` gives, exactly, and the category shares; one scan and one row shuffle."""
-    shares = category_coverage(value_counts(df, columns), top)
+    shares = category_coverage(value_counts(df, columns, digest=True), top)
     return names_table(df, columns).join(F.broadcast(shares), "feature_name", "left").select(
         "feature_name",
         *_null_columns(),

@@ -100,7 +100,7 @@ def profile_features(
     else:
         stats = column_stats(df, names)
         if strings:
-            shares = category_coverage(value_counts(df, strings), limits.top_keep)
+            shares = category_coverage(value_counts(df, strings, digest=True), limits.top_keep)
             shares = shares.select("feature_name", "dominant_ratio", "top_category_coverage")
             stats = stats.join(F.broadcast(shares), "feature_name", "left")
         else:

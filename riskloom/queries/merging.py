@@ -64,9 +64,22 @@ def model_ranking(spark, sf_dir):
     return r.model_ranking(metrics(spark, sf_dir))
 
 
-@query("model_comparison")
+@query("model_comparison",
+       f"{METRICS}, ranked AS (SELECT *, row_number() OVER (ORDER BY test_auc_pr DESC, model_name) AS r FROM metrics) "
+       "SELECT (SELECT model_name FROM ranked WHERE r = 1) AS best, 'areaUnderPR' AS selection_metric, 20 AS seed, "
+       "CAST(r - 1 AS INT) AS position, model_name, test_auc_pr, test_f1 FROM ranked")
 def model_comparison(spark, sf_dir):
-    return r.model_comparison(metrics(spark, sf_dir))
+    """The comparison document, parsed again: constants, the best model, all models in order."""
+    row = "struct<model_name: string, test_auc_pr: double, test_f1: double>"
+    schema = f"best_model_by_test_auc_pr string, selection_metric string, seed int, models array<{row}>"
+    document = r.model_comparison(metrics(spark, sf_dir)).select(F.from_json("comparison_json", schema).alias("d"))
+    models = document.select(
+        F.col("d.best_model_by_test_auc_pr").alias("best"),
+        "d.selection_metric",
+        "d.seed",
+        F.posexplode("d.models").alias("position", "model"),
+    )
+    return models.select("best", "selection_metric", "seed", "position", "model.*")
 
 
 @query("expected_models",

@@ -165,3 +165,13 @@ def test_hundreds_of_columns_profile_in_one_small_plan(spark):
     assert rows["v0"]["inclusion_decision"] == "include_numeric"
     exact = len({(i * 100) % 101 for i in range(300)})
     assert math.isclose(rows["v99"]["distinct_non_null"], exact, rel_tol=0.2)
+
+
+def test_long_values_are_counted_by_their_digest(spark):
+    long = ["x" * 1000 + str(i % 3) for i in range(9)]
+    df = spark.createDataFrame([(v,) for v in [*long, "short", None]], "v string")
+    counts = p.value_counts(df, ["v"], digest=True).collect()
+    assert sorted(r["n_rows"] for r in counts) == [1, 1, 3, 3, 3]
+    assert max(len(r["value"] or "") for r in counts) == 64
+    assert p.exact_distinct(df).first()["distinct_non_null"] == 4
+    assert {r["value"] for r in p.top_categories(df, ["v"], 3).collect()} == set(long)
