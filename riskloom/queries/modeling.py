@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom import views as v
 from riskloom.operators import models as m
 from riskloom.operators.encode import build_pipeline, feature_names
-from riskloom.operators.sampling import fit_class_weights, split, with_folds
+from riskloom.operators.longform import names_table
+from riskloom.operators.sampling import fit_class_weights, split, split_part, with_folds
 from riskloom.operators.selection import prepare_features, profile_features, fit_feature_plan
 from riskloom.plans.modeling import modeling_frame
 from riskloom.plans.training import encode_split, prediction_rows, train_models
-from riskloom.queries.registry import query
+from riskloom.queries.registry import TXN, md5_bucket, query
 
 SMOKE = m.TrainingSettings(mode="smoke", smoke_fraction=1.0)
 
@@ -23,7 +24,7 @@ def training_frame(spark, sf_dir):
     return modeling_frame(transactions, v.identity(spark, sf_dir))
 
 
-def _vectors(spark, sf_dir):
+def training_vectors(spark, sf_dir):
     return v.vectors(spark, sf_dir).select(
         F.col("vec_id").alias("transactionid"),
         F.col("label").cast("double").alias("label"),
@@ -34,7 +35,7 @@ def _vectors(spark, sf_dir):
 
 def _predictions(spark, sf_dir, name):
     """Fit on 70 % of the vectors, score the rest."""
-    train, test = split(_vectors(spark, sf_dir), "transactionid")
+    train, test = split(training_vectors(spark, sf_dir), "transactionid")
     model = m.build_estimator(name, SMOKE).fit(train)
     scored = m.score(model, test)
     return prediction_rows({name: scored})
@@ -50,17 +51,66 @@ def rf_predictions(spark, sf_dir):
     return _predictions(spark, sf_dir, "rf")
 
 
-@query("encoded_vectors")
-def encoded_vectors(spark, sf_dir):
-    """The fitted preprocessing pipeline over the whole modelling frame: vector sizes and names."""
+# What the encoder must come to: every number of the frame varies, every category is kept.
+NUMBERS = (
+    "email_domain_match", "event_day", "event_hour_cos", "event_hour_sin", "event_minute_cos", "event_minute_sin",
+    "event_second_cos", "event_second_sin", "identity_present", "log_transactionamt", "transactionamt", "transactiondt",
+)
+CATEGORIES = ("card4", "card6", "p_emaildomain", "productcd", "r_emaildomain")
+DIMENSIONS = f"""WITH {TXN}, numbers AS (
+  SELECT unnest({list(NUMBERS)}) || '_imputed' AS dimension, unnest(range({len(NUMBERS)})) AS position
+), categories AS (
+  {" UNION ALL ".join(f"SELECT {i} AS source, '{name}' AS name, coalesce({name}, '__MISSING__') AS value, count(*) AS n FROM txn GROUP BY 3" for i, name in enumerate(CATEGORIES))}
+), dimensions AS (
+  SELECT * FROM numbers UNION ALL SELECT concat(name, '_ohe_', value),
+    {len(NUMBERS)} - 1 + row_number() OVER (ORDER BY source, n DESC, value) FROM categories
+)"""
+
+
+def _encoded(spark, sf_dir):
+    """The fitted preprocessing pipeline over the whole modelling frame, and its dimension names."""
     frame = training_frame(spark, sf_dir)
     plan = fit_feature_plan(frame, profile_features(frame))
     prepared = prepare_features(frame, plan, fit_class_weights(frame))
     pipeline, inputs = build_pipeline(plan.numeric, plan.strings)
     vectors = pipeline.fit(prepared).transform(prepared)
     size = vectors.select("features").first()["features"].size
-    names = feature_names(vectors, size, inputs)
-    return vectors.select("transactionid", "label", F.lit(size).alias("n_dimensions"), F.lit(names[0]).alias("first_dimension"))
+    return vectors, feature_names(vectors, size, inputs)
+
+
+@query("encoded_vectors",
+       f"{DIMENSIONS} SELECT transactionid, CAST(is_fraud AS DOUBLE) AS label, CAST((SELECT count(*) FROM dimensions) AS INT) AS n_dimensions, "
+       f"{len(CATEGORIES)}::DOUBLE AS n_categories FROM txn")
+def encoded_vectors(spark, sf_dir):
+    """Vector size, and how many categories each row carries: one per text column."""
+    vectors, names = _encoded(spark, sf_dir)
+    values = vector_to_array("features")
+    carried = F.aggregate(
+        F.slice(values, len(NUMBERS) + 1, len(names) - len(NUMBERS)), F.lit(0.0), lambda total, v: total + v
+    )
+    return vectors.select(
+        "transactionid", "label", F.size(values).alias("n_dimensions"), carried.alias("n_categories")
+    )
+
+
+@query("encoded_dimensions", f"{DIMENSIONS} SELECT CAST(position AS INT) AS position, dimension FROM dimensions")
+def encoded_dimensions(spark, sf_dir):
+    """Names and order of the encoded dimensions, constant ones left out."""
+    vectors, names = _encoded(spark, sf_dir)
+    return names_table(vectors, names, "dimension")
+
+
+@query("scored_rows",
+       "SELECT vec_id AS transactionid, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, true AS consistent "
+       f"FROM embeddings WHERE {md5_bucket("'split|' || CAST(vec_id AS VARCHAR)")} >= 0.7::DOUBLE * 4294967296.0")
+def scored_rows(spark, sf_dir):
+    """A forest's answers for the held-out rows: probability and prediction must agree."""
+    rows = training_vectors(spark, sf_dir)
+    part = split_part("transactionid", portable=True)
+    scored = m.score(m.build_estimator("rf", SMOKE).fit(rows.where(part == 0)), rows.where(part == 1))
+    probability = m.positive_probability(F.col("probability"))
+    consistent = (F.col("prediction") == (probability > 0.5).cast("double")) | (probability == 0.5)
+    return scored.select("transactionid", "label", consistent.alias("consistent"))
 
 
 @query("importances")
@@ -77,7 +127,7 @@ def importances(spark, sf_dir):
 def cv_log(spark, sf_dir):
     """Cross-validation of the smoke grid with its per-fold log."""
     estimator = m.build_estimator("rf", SMOKE)
-    tuned = m.grid_search_cv("rf", estimator, m.param_grid("rf", estimator, True), _vectors(spark, sf_dir))
+    tuned = m.grid_search_cv("rf", estimator, m.param_grid("rf", estimator, True), training_vectors(spark, sf_dir))
     return tuned.log_frame(spark)
 
 
