@@ -15,15 +15,35 @@ from pyspark.sql import functions as F
 POSITION = "position"
 
 
-def long_cells(df: DataFrame, cells: Sequence[Column], value: str = "value") -> DataFrame:
-    """position, value: one row per row and cell. All cells have the same type."""
-    return df.select(F.posexplode(F.array(*cells)).alias(POSITION, value))
+def quoted(name: str) -> str:
+    """A column name for use inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def names_table(df: DataFrame, names: Sequence[str], name: str = "feature_name") -> DataFrame:
-    """position and name of every column, in the session of ``df``."""
-    literals = F.array(*[F.lit(text) for text in names])
-    return df.sparkSession.range(1).select(F.posexplode(literals).alias(POSITION, name))
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def long_cells(df: DataFrame, cells: Sequence[Column] | Sequence[str], value: str = "value") -> DataFrame:
+    """position, value: one row per row and cell. All cells have the same type.
+
+    Cells may be SQL text, which is parsed in one go: building hundreds of
+    columns call by call takes longer than many a query.
+    """
+    if all(isinstance(cell, str) for cell in cells):
+        array = F.expr(f"array({', '.join(cells)})")
+    else:
+        array = F.array(*cells)
+    return df.select(F.posexplode(array).alias(POSITION, value))
+
+
+def names_table(df: DataFrame, names: Sequence[str], name: str = "feature_name", **more: Sequence[str]) -> DataFrame:
+    """position and name of every column, and more texts per column, in the session of ``df``."""
+    lists = {name: names, **more}
+    arrays = [f"array({', '.join(map(text_literal, texts))}) AS {title}" for title, texts in lists.items()]
+    zipped = f"posexplode(arrays_zip({', '.join(lists)}))"
+    table = df.sparkSession.range(1).selectExpr(*arrays).select(F.expr(zipped).alias(POSITION, "texts"))
+    return table.select(POSITION, *[F.col(f"texts.{title}") for title in lists])
 
 
 def named(stats: DataFrame, names: Sequence[str], name: str = "feature_name") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.longform import POSITION, long_cells, named, names_table
+from riskloom.operators.longform import POSITION, long_cells, named, names_table, quoted
 
 TOP_CATEGORIES = 10
 DIGEST_LENGTH = 64
@@ -25,19 +25,26 @@ def feature_columns(df: DataFrame, exclude: Collection[str]) -> list[str]:
     return sorted(name for name in df.columns if name not in exclude)
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    """Text form in which equal values look the same (-0.0 and 0.0 are equal)."""
-    column = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        column = column + F.lit(0.0)
-    return column.cast("string")
+def _types(df: DataFrame) -> dict[str, T.DataType]:
+    return {field.name: field.dataType for field in df.schema.fields}
 
 
-def _fingerprint(df: DataFrame, name: str) -> Column:
-    """Hash of a present value; a type that cannot be hashed counts as one value."""
-    column = F.col(name)
-    unhashable = isinstance(df.schema[name].dataType, (T.MapType, T.VariantType))
-    return F.when(column.isNotNull(), F.lit(1).cast("bigint") if unhashable else F.xxhash64(column))
+def _as_text(name: str, data_type: T.DataType, digest: bool) -> str:
+    """SQL of a text form in which equal values look the same (-0.0 and 0.0 are equal)."""
+    column = quoted(name)
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        column = f"{column} + 0D"
+    text = f"CAST({column} AS STRING)"
+    if digest and not isinstance(data_type, T.NumericType):
+        return f"IF(length({text}) > {DIGEST_LENGTH}, sha2({text}, 256), {text})"
+    return text
+
+
+def _fingerprint(name: str, data_type: T.DataType) -> str:
+    """SQL of a present value's hash; a type that cannot be hashed counts as one value."""
+    column = quoted(name)
+    unhashable = isinstance(data_type, (T.MapType, T.VariantType))
+    return f"IF({column} IS NOT NULL, {'1L' if unhashable else f'xxhash64({column})'}, NULL)"
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], digest: bool = False) -> DataFrame:
@@ -48,13 +55,9 @@ def value_counts(df: DataFrame, columns: Sequence[str], digest: bool = False) ->
     ``digest`` a value longer than its SHA-256 is replaced by it: enough where
     only the counts matter, and whole texts stay out of the shuffle.
     """
-
-    def cell(name: str) -> Column:
-        text = _as_text(df, name)
-        return F.when(F.length(text) > DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text) if digest else text
-
+    types = _types(df)
     counts = (
-        long_cells(df, [cell(name) for name in columns])
+        long_cells(df, [_as_text(name, types[name], digest) for name in columns])
         .groupBy(POSITION, "value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -78,8 +81,9 @@ def _null_columns() -> list[Column]:
 
 def column_stats(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) -> DataFrame:
     """feature_name, n_rows, n_null, null_ratio and the approximate distinct_non_null, in one pass."""
+    types = _types(df)
     stats = (
-        long_cells(df, [_fingerprint(df, name) for name in columns])
+        long_cells(df, [_fingerprint(name, types[name]) for name in columns])
         .groupBy(POSITION)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -95,7 +99,7 @@ def column_stats(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) -> Da
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """feature_name, n_rows, n_null, null_ratio (1.0 for an empty table), by one wide aggregate."""
     names = list(df.columns if columns is None else columns)
-    present = [F.count(F.col(name)).alias(f"present_{i}") for i, name in enumerate(names)]
+    present = [F.expr(f"count({quoted(name)})").alias(f"present_{i}") for i, name in enumerate(names)]
     counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *present).select(
         "n_rows",
         F.posexplode(F.array(*[F.col(f"present_{i}") for i in range(len(names))])).alias(

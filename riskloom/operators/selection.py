@@ -16,6 +16,7 @@ from riskloom.functions.categories import (
     source_feature,
     weight_by_label,
 )
+from riskloom.operators.longform import names_table
 from riskloom.operators.profile import (
     TOP_CATEGORIES,
     category_coverage,
@@ -86,15 +87,10 @@ def profile_features(
     """
     if distinct not in ("approx", "exact"):
         raise ValueError(f"unknown distinct mode: {distinct}")
+    types = {field.name: field.dataType for field in df.schema.fields}
     names = feature_columns(df, exclude)
-    kinds = {name: source_type(df.schema[name].dataType) for name in names}
-    strings = [name for name in names if kinds[name] == "string"]
-    types = {name: df.schema[name].dataType.simpleString() for name in names}
-
-    def look_up(values: Mapping[str, str]) -> Column:
-        pairs = [F.lit(text) for pair in values.items() for text in pair]
-        return F.element_at(F.create_map(*pairs), F.col("feature_name"))
-
+    kinds = [source_type(types[name]) for name in names]
+    strings = [name for name, kind in zip(names, kinds) if kind == "string"]
     if distinct == "exact":
         stats = exact_column_stats(df, names, limits.top_keep)
     else:
@@ -106,15 +102,18 @@ def profile_features(
         else:
             none = F.lit(None).cast("double")
             stats = stats.withColumns({"dominant_ratio": none, "top_category_coverage": none})
+    described = names_table(
+        df, names, source_type=kinds, spark_type=[types[name].simpleString() for name in names]
+    )
     undecided = (
-        (look_up(kinds) == "string")
+        (F.col("source_type") == "string")
         & (F.col("null_ratio") <= limits.null_ratio)
         & (F.col("distinct_non_null") > 1)
     )
-    stats = stats.select(
+    stats = stats.join(F.broadcast(described), "feature_name").select(
         "feature_name",
-        look_up(kinds).alias("source_type"),
-        look_up(types).alias("spark_type"),
+        "source_type",
+        "spark_type",
         "null_ratio",
         F.coalesce("distinct_non_null", F.lit(0)).alias("distinct_non_null"),
         F.when(undecided, F.col("dominant_ratio")).alias("dominant_ratio"),

@@ -175,3 +175,12 @@ def test_long_values_are_counted_by_their_digest(spark):
     assert max(len(r["value"] or "") for r in counts) == 64
     assert p.exact_distinct(df).first()["distinct_non_null"] == 4
     assert {r["value"] for r in p.top_categories(df, ["v"], 3).collect()} == set(long)
+
+
+def test_awkward_column_names(spark):
+    names = ["it's", "tick`ed", "dot.ted", "back\\slash", "Ünï"]
+    df = spark.createDataFrame([("a", "b", "c", "d", None), ("a", "x", None, "d", None)], "a string, b string, c string, d string, e string").toDF(*names)
+    rows = {r["feature_name"]: r["distinct_non_null"] for r in p.exact_distinct(df).collect()}
+    assert rows == dict(zip(names, [1, 2, 1, 1, 0]))
+    assert {r["feature_name"] for r in s.profile_features(df, exclude=()).collect()} == set(names)
+    assert {r["feature_name"]: r["n_null"] for r in p.null_profile(df).collect()}["Ünï"] == 2
