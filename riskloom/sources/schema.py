@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.longform import POSITION, long_cells, names_table
+from riskloom.operators.longform import POSITION, long_cells, names_table, quoted
 
 # Declared type -> Spark type; anything else is a string.
 DECLARED_TYPES = {
@@ -51,16 +51,16 @@ def cast_to_schema(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
         raise ValueError(f"no such columns: {sorted(unknown)}")
     return df.select(
         *[
-            F.col(name).try_cast(spark_type(declared[name])).alias(name)
+            F.col(quoted(name)).try_cast(spark_type(declared[name])).alias(name)
             if name in declared
-            else F.col(name)
+            else F.col(quoted(name))
             for name in df.columns
         ]
     )
 
 
 def _cell(name: str) -> Column:
-    return F.nullif(F.trim(F.col(name)), F.lit(""))
+    return F.nullif(F.trim(F.col(quoted(name))), F.lit(""))
 
 
 def infer_schema(
