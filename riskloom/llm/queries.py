@@ -121,14 +121,14 @@ _STOP = ", ".join(f"'{word}'" for word in quality.stop_forms())
 QUALITY_SQL = rf"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), windows AS (
-  SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, words[at], words[at + 1], words[at + 2]) AS n
-  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS at FROM split)
+  SELECT doc_id, spot, count(*) OVER (PARTITION BY doc_id, words[spot], words[spot + 1], words[spot + 2]) AS n
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS spot FROM split)
 ), covered AS (
   SELECT doc_id, count(DISTINCT place) AS n_repeat_words
-  FROM (SELECT doc_id, unnest([at, at + 1, at + 2]) AS place FROM windows WHERE n > 1) GROUP BY doc_id
+  FROM (SELECT doc_id, unnest([spot, spot + 1, spot + 2]) AS place FROM windows WHERE n > 1) GROUP BY doc_id
 ), measured AS (
   SELECT s.doc_id,
          len(words) AS n_words,
@@ -137,10 +137,10 @@ WITH split AS (
          len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
          len(lines) AS n_lines,
-         len(list_filter(words, x -> regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+         len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
          len(list_intersect(list_distinct(words), [{_STOP}])) AS n_stop_words,
-         len(list_filter(lines, x -> regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣–][ \t]'))) AS n_bullet_lines,
-         len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣–][ \t]'))) AS n_bullet_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
   FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id
 )
 SELECT *, NOT ({" AND ".join(map(_bound, quality.BASE))}) AS base_failed,
