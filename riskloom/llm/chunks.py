@@ -12,7 +12,7 @@ CUT = re.compile(r"\s\S")
 #: White space here, but not in the tokenizer's pattern.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SLICE = 1 << 20
-MOST_REMEMBERED = 600_000
+MOST_REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 
 

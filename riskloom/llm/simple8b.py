@@ -6,6 +6,7 @@ import array
 import functools
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,8 +28,11 @@ SELECTORS = (
 ESCAPE = 0
 PAYLOAD = 60
 BLOCK_IDS = 1024
-SEGMENT_IDS = 16_384
+SEGMENT_IDS = 65_536
 END_ID = 0
+#: A pre-token that is the same in any byte-level file, and how such files write its space.
+ONE_WORD = re.compile(" ?[A-Za-z]+")
+SPACE_SYMBOL = "\u0120"
 COUNTS = np.array([count for count, _ in SELECTORS], np.int64)
 _WIDTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
 
@@ -130,7 +134,21 @@ class LibraryEncoder:
         byte_level = (description.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.by_piece = byte_level and not description.get("normalizer") and not description["pre_tokenizer"]["add_prefix_space"]
         specials = tuple(token["content"] for token in description["added_tokens"])
-        self.memory = Remembered(self.library, specials)
+        self.memory = Remembered(self.pieces, specials)
+
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """Like :func:`library`; a piece that is one word of ASCII letters goes to the library's model at once."""
+        model, code, found = self.tokenizer.model, self.code, [b""] * len(texts)
+        others = []
+        for k, text in enumerate(texts):
+            if ONE_WORD.fullmatch(text):
+                word = SPACE_SYMBOL + text[1:] if text[0] == " " else text
+                found[k] = array.array(code, [token.id for token in model.tokenize(word)]).tobytes()
+            else:
+                others.append(k)
+        for k, ids in zip(others, self.library([texts[k] for k in others])):
+            found[k] = ids
+        return found
 
     def library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
