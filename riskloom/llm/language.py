@@ -89,13 +89,19 @@ def fit_text_model(labelled: DataFrame) -> TextModel:
     BUCKETS numbers for each of MOST_LANGUAGES languages.
     """
     known = labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "") & (F.col("lang") != UNKNOWN))
-    frequent = known.groupBy(F.lower("lang").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    languages = tuple(sorted(row["lang"] for row in frequent.collect()))
+    frequent = known.groupBy(F.lower("lang").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    languages = tuple(sorted(row["lang"] for row in frequent))
     if not languages:
         return TextModel((), np.zeros((BUCKETS, 0)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("lang").alias("lang")).where(F.col("lang").isin(*languages))
-    chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)  # evenly spread from 0 to 2 ** 63
+    # rows that can be among the smallest: twice as many as are taken, whatever the size of the table
+    reach = F.lit(None).cast("long")
+    for row in frequent:
+        reach = F.when(F.col("lang") == row["lang"], min((1 << 63) - 1, 2 * SAMPLE_PER_LANGUAGE * (1 << 63) // row["count"])).otherwise(reach)
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("lang").alias("lang")).withColumn("place", place)
+    rows = rows.where(F.col("place") <= reach).withColumn("nth", F.row_number().over(order))
+    chosen = rows.where(F.col("nth") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
     # at most SAMPLE_PER_LANGUAGE * MOST_LANGUAGES short rows
     texts = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("lang").alias("lang"), "text")
     texts = join_null_safe(texts, F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi")
