@@ -33,8 +33,9 @@ def map_top_k(value: Column, kept: Sequence[str]) -> Column:
 
 
 def weight_by_label(label: Column, weights: Mapping[int, float]) -> Column:
-    return F.when(label == F.lit(1.0), F.lit(float(weights[1]))).otherwise(
-        F.lit(float(weights[0]))
+    """The weight of the row's class; NULL for a label that is neither 0 nor 1."""
+    return F.when(label == F.lit(1.0), F.lit(float(weights[1]))).when(
+        label == F.lit(0.0), F.lit(float(weights[0]))
     )
 
 

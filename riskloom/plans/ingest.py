@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.quality import key_problems
 from riskloom.sources.schema import (
-    SAMPLE_ROWS,
     cast_to_schema,
     declared_types,
     infer_schema,
@@ -31,7 +30,7 @@ class TableSpec:
     parent: str | None = None
 
 
-def typed_table(spark: SparkSession, spec: TableSpec, sample_rows: int | None = SAMPLE_ROWS) -> DataFrame:
+def typed_table(spark: SparkSession, spec: TableSpec, sample_rows: int | None = None) -> DataFrame:
     """Header checked, types inferred and cast, names normalised. Runs the inference job.
 
     The key is a long whatever the sample says.
@@ -60,7 +59,7 @@ def run_ingest(
     spark: SparkSession,
     specs: Sequence[TableSpec],
     directory: str,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Typed tables as a compressed snapshot below ``directory``, and their audit."""
     typed = {spec.name: typed_table(spark, spec, sample_rows) for spec in specs}

@@ -184,7 +184,7 @@ CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment F
 def csv_round_trip(spark, sf_dir):
     """Exported as CSV, read with a checked header, types inferred over all rows, cast."""
     path = scratch_path(spark, "customer_csv")
-    sinks.export_csv(v.table(spark, sf_dir, "customer"), path)
+    sinks.export_table_csv(v.table(spark, sf_dir, "customer"), path)
     text = tables.read_table_csv(spark, path)
     types = schema.declared_types(schema.infer_schema(text, None, {"c_nationkey": "SMALLINT"}))
     return schema.cast_to_schema(text, types)
@@ -198,6 +198,16 @@ def jsonl_round_trip(spark, sf_dir):
     return spark.read.schema(customers.schema).json(path)
 
 
+@query("document_csv_round_trip",
+       "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def document_csv_round_trip(spark, sf_dir):
+    """Whole texts, with their quotes, backslashes and line breaks, through CSV and back; an empty cell is NULL."""
+    path = scratch_path(spark, "documents_csv")
+    documents = v.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    sinks.export_table_csv(documents, path)
+    return tables.read_table_csv(spark, path, documents.schema)
+
+
 @query("json_line_validity",
        "SELECT origin, count(*) AS n_lines, count(*) FILTER (NOT json_valid(line)) AS n_corrupt FROM "
        "(SELECT 'events' AS origin, props AS line FROM events UNION ALL SELECT 'documents', text FROM documents "

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +25,14 @@ def local_session(app: str = "riskloom", cores: int | str = 8, **conf: str) -> S
     return spark
 
 
-_OWN_FOLDERS: dict[str, str] = {}
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    Without that setting it is a folder below the warehouse, which all machines share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        application = spark.sparkContext.applicationId
-        if application not in _OWN_FOLDERS:
-            _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="riskloom-")
-        base = _OWN_FOLDERS[application]
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch/{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

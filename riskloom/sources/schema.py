@@ -21,7 +21,6 @@ DECLARED_TYPES = {
 # What counts as a whole number and as a number in a text cell.
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 DECIMAL_PATTERN = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-SAMPLE_ROWS = 5000
 
 
 def normalized_name(name: str) -> str:
@@ -65,7 +64,7 @@ def _cell(name: str) -> Column:
 
 def infer_schema(
     df: DataFrame,
-    sample_rows: int | None = SAMPLE_ROWS,
+    sample_rows: int | None = None,
     overrides: Mapping[str, str] | None = None,
     booleans: Iterable[str] = (),
 ) -> DataFrame:
@@ -73,8 +72,8 @@ def infer_schema(
 
     All whole numbers that fit a long -> BIGINT, else all numbers -> NUMERIC,
     else TEXT; a column without values is TEXT. All columns go through the same
-    small aggregate in one scan. ``sample_rows`` looks at that many rows only,
-    None at the whole table. ``booleans`` names columns that may become BOOLEAN
+    small aggregate in one scan. ``sample_rows`` looks at that many rows only; the
+    default is the whole table, since a type that later rows do not fit would lose their cells. ``booleans`` names columns that may become BOOLEAN
     when they hold nothing but True and False.
     """
     overrides = dict(overrides or {})

@@ -71,10 +71,30 @@ def materialize_result(df: DataFrame, table: str, path: str | None = None) -> Da
     return df.sparkSession.table(table)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header CSV. ``single_file`` is for report-sized results: it writes through one task."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False, escape: str = "\\") -> None:
+    """Header CSV. ``single_file`` is for report-sized results: it writes through one task.
+
+    Quotes are escaped by a backslash, as readers of the reports expect;
+    :func:`export_table_csv` writes what the table reader reads.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", escape).csv(path)
+
+
+def export_table_csv(df: DataFrame, path: str) -> None:
+    """Header CSV in the dialect of the table reader: quotes doubled, every text in quotes.
+
+    A quoted cell keeps its quotes, backslashes, line breaks and white space at its ends.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("escapeQuotes", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def export_jsonl(df: DataFrame, path: str) -> None:

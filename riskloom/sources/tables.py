@@ -27,22 +27,23 @@ def validate_header(spark: SparkSession, path: str) -> list[str]:
     """
     first = spark.read.text(path).limit(1).collect()
     if not first:
-        raise ValueError(f"CSV is missing or empty: {path}")
+        raise ValueError(f"{path}: no header line")
     line = first[0]["value"].removeprefix("﻿")
     names = next(csv.reader([line]), [])
     if not names or any(not name.strip() for name in names):
-        raise ValueError(f"CSV header has empty names: {path}")
+        raise ValueError(f"{path}: a column has no name")
     if len(names) != len(set(names)):
-        raise ValueError(f"CSV header contains duplicate columns: {path}")
+        raise ValueError(f"{path}: two columns share a name")
     return names
 
 
 def read_table_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Header CSV with empty cells as NULL; all columns are text unless a schema is given.
 
-    Every file's header must match the schema, in order.
+    Every file's header must match the schema, in order. Cells may hold line breaks;
+    ``multi_line=False`` is for files that are known to have none, and lets Spark split them.
     """
     if schema is None:
         names = validate_header(spark, path)
