@@ -1,10 +1,10 @@
 """Running totals and medians over an ordered value without sending all rows to one task.
 
-Edges taken from a quantile sketch cut the value range into buckets; totals per
-bucket give each bucket its starting point, and only inside a bucket are values
-sorted. Edges decide how evenly the work spreads, never a result, and they are
-fixed numbers by the time rows are assigned, so a recomputed task puts its rows
-where they were.
+Edges taken from a quantile sketch cut the distinct values into ranges of a
+set size; totals per range give each range its starting point, and only inside
+a range are values sorted. Edges decide how evenly the work spreads, never a
+result, and they are fixed numbers by the time rows are assigned, so a
+recomputed task puts its rows where they were.
 """
 
 from __future__ import annotations
@@ -17,15 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.operators.longform import POSITION, long_cells, named
+from riskloom.operators.longform import POSITION, long_cells, named, quoted
+from riskloom.session import checkpointed
 
-MAX_BUCKETS = 4096
-BUCKET_ROWS = 20_000
-
-
-def plan_buckets(distinct: int, single: int) -> int:
-    """One range for up to ``single`` distinct values, then one per twenty thousand."""
-    return 1 if distinct <= single else min(MAX_BUCKETS, distinct // BUCKET_ROWS + 1)
+#: Distinct values that are sorted together, at any size of the table.
+RANGE_VALUES = 250_000
+#: Rows among which a median is looked up by sorting, and the marks of one narrowing step.
+MEDIAN_ROWS = 100_000
+MEDIAN_MARKS = 1024
 
 
 def _number(value: Column) -> Column:
@@ -35,29 +34,32 @@ def _number(value: Column) -> Column:
 
 def _array(numbers: Iterable[float]) -> Column:
     """Literal array, parsed in one go rather than built element by element."""
-    return F.expr(f"array({', '.join(f'{number!r}D' for number in numbers)})")
+    cells = (f"{number!r}D" if math.isfinite(number) else f"double('{number!r}')" for number in numbers)
+    return F.expr(f"array({', '.join(cells)})")
 
 
 def range_edges(
-    df: DataFrame, value: str, by: str | None = None, buckets: int | None = None, single: int = 50_000
+    df: DataFrame, value: str, by: str | None = None, buckets: int | None = None
 ) -> Mapping[int | None, Sequence[float]]:
-    """Bucket edges per group, at most 4095 numbers each. Runs one aggregate over ``df``.
+    """Edges per group that cut the rows of ``df`` into ``buckets`` ranges of about the same number of rows.
 
-    Without ``buckets`` their number follows from an estimate of the distinct values.
+    Without ``buckets`` a range holds about ``RANGE_VALUES`` distinct values,
+    however many there are. Runs one or two small aggregates and brings the edges to the
+    driver: eight bytes for each quarter million values.
     """
     group = F.col(by) if by else F.lit(None).cast("int")
-    marks = _array(i / MAX_BUCKETS for i in range(1, MAX_BUCKETS))
-    sketches = df.groupBy(group.alias("g")).agg(
-        F.approx_count_distinct(value).alias("distinct"),
-        F.percentile_approx(_number(F.col(value)), marks, F.lit(10 * MAX_BUCKETS)).alias("marks"),
-    )
-    edges = {}
-    for row in sketches.collect():
-        wanted = buckets or plan_buckets(row["distinct"], single)
-        step = MAX_BUCKETS / wanted
-        picked = {row["marks"][round(step * i) - 1] for i in range(1, wanted)}
-        edges[row["g"]] = sorted(mark for mark in picked if math.isfinite(mark))
-    return edges
+    groups = df.groupBy(group.alias("g"))
+    if buckets is None:
+        sizes = groups.agg(F.approx_count_distinct(value).alias("size"))
+        buckets = (sizes.agg(F.max("size")).first()[0] or 0) // RANGE_VALUES + 1
+    if buckets < 2:
+        return {}
+    marks = _array(i / buckets for i in range(1, buckets))
+    sketch = F.percentile_approx(_number(F.col(value)), marks, F.lit(max(10_000, 20 * buckets)))
+    return {
+        row["g"]: sorted({mark for mark in row["marks"] or () if math.isfinite(mark)})
+        for row in groups.agg(sketch.alias("marks")).collect()
+    }
 
 
 def _splits(edges: Sequence[float]) -> list[float]:
@@ -80,18 +82,14 @@ def running_totals(
 ) -> DataFrame:
     """One row per distinct value: its sums, and ``cum_<name>`` up to and including it.
 
-    Rows without a value are left out. Runs one aggregate to place the bucket edges.
+    Rows without a value are left out. The histogram is stored once: the edges
+    are marks of its distinct values, so a hot value weighs no more than any
+    other, and the result reads it again without going back to ``df``. Runs
+    the job that stores it and those of :func:`range_edges`.
     """
-    present = df.where(F.col(value).isNotNull())
-    edges = range_edges(present, value, buckets=buckets, single=300_000).get(None, ())
-    hist = value_histogram(df, value, sums)
+    hist = checkpointed(value_histogram(df, value, sums))
+    edges = range_edges(hist, value, buckets=buckets).get(None, ())
     direction = F.desc if descending else F.asc
-    if not edges:
-        upto = W.orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
-        return hist.select("*", *[F.sum(name).over(upto).alias(f"cum_{name}") for name in sums])
-
-    # The bucket is never NULL, and declared so: a null filter pushed below the
-    # histogram on one side of the join would keep the sides from sharing its shuffle.
     placed = (
         Bucketizer(splits=_splits(edges), inputCol="number", outputCol="range", handleInvalid="keep")
         .transform(hist.withColumn("number", _number(F.col(value))))
@@ -117,48 +115,93 @@ def running_totals(
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """feature_name, median: the smallest value with half of the present values at or below it.
+def _median_bounds(
+    numbers: DataFrame, columns: int, marks: int, rows: int
+) -> dict[int, tuple[float, float, int, int]]:
+    """Per column with values: bounds of its median, rows below them, and the median's rank.
 
-    NULL and NaN do not count. A column without values has no row. Counts per
-    value range tell which range holds a column's median; only the values of
-    that range are sorted, so the rows themselves are never shuffled. Runs one
-    aggregate to place the edges.
+    Each step counts, for all open columns in one aggregate, the rows below, at
+    and between the bounds, and moves the bounds to the two marks of a sketch
+    of the rows between that enclose the rank. Values at a bound are counted
+    apart, so a hot value ends the search instead of staying inside. A step
+    keeps about two of ``marks`` parts; it ends with ``rows`` rows or fewer.
     """
-    spots = range(len(columns))
-    numbers = df.select(*[_number(F.col(name)).alias(f"v{i}") for i, name in enumerate(columns)])
-    number = F.col("value")
-    present = number.isNotNull() & ~F.isnan(number)
-    edges = range_edges(long_cells(numbers, [F.col(f"v{i}") for i in spots]).where(present), "value", POSITION, buckets)
-    if any(edges.values()):
-        bucketizer = Bucketizer(
-            splitsArray=[_splits(edges.get(i, ())) for i in spots],
-            inputCols=[f"v{i}" for i in spots],
-            outputCols=[f"r{i}" for i in spots],
-            handleInvalid="keep",
+    bounds = {i: (float("-inf"), float("inf")) for i in range(columns)}
+    found: dict[int, tuple[float, float, int, int]] = {}
+    value = F.col("value")
+    while bounds:
+        spots = sorted(bounds)
+        low, high = (F.get(_array(bounds[i][end] for i in spots), F.col(POSITION)) for end in (0, 1))
+        between = (value > low) & (value < high)
+        shares = _array(i / marks for i in range(1, marks))
+        cells = long_cells(numbers, [F.col(f"v{i}") for i in spots])
+        counts = (
+            cells.where(value.isNotNull() & ~F.isnan(value))
+            .groupBy(POSITION)
+            .agg(
+                F.count(value).alias("total"),
+                F.count_if(value < low).alias("below"),
+                F.count_if(value == low).alias("at_low"),
+                F.count_if(between).alias("between"),
+                F.percentile_approx(F.when(between, value), shares, F.lit(max(10_000, 20 * marks))).alias("marks"),
+            )
         )
-        numbers = bucketizer.transform(numbers)
-        ranges = [F.coalesce(F.col(f"r{i}").cast("int"), F.lit(0)) for i in spots]
-    else:
-        ranges = [F.lit(0)] * len(columns)
-    cells = [F.struct(F.col(f"v{i}").alias("value"), ranges[i].alias("bucket")) for i in spots]
-    placed = long_cells(numbers, cells, "cell").select(POSITION, "cell.*").where(present)
-
-    def half_reached(counts: DataFrame, key: str, before: Column, total: Column) -> DataFrame:
-        upto = W.partitionBy(POSITION).orderBy(key).rowsBetween(W.unboundedPreceding, 0)
-        running = counts.select("*", total.alias("total"), (before + F.sum("n").over(upto)).alias("cum"))
-        reached = F.col("cum") * 2 >= F.col("total")
-        return running.where(reached & ((F.col("cum") - F.col("n")) * 2 < F.col("total")))
-
-    rows = F.count(F.lit(1)).alias("n")
-    whole = F.sum("n").over(W.partitionBy(POSITION))
-    target = half_reached(placed.groupBy(POSITION, "bucket").agg(rows), "bucket", F.lit(0), whole).select(
-        POSITION, "bucket", (F.col("cum") - F.col("n")).alias("before"), F.col("total").alias("n_present")
-    )
-    inside = (
-        placed.join(F.broadcast(target), [POSITION, "bucket"])
-        .groupBy(POSITION, "before", "n_present", "value")
-        .agg(rows)
+        steps = {spots[row[POSITION]]: row for row in counts.collect()}
+        for i in spots:
+            step, (left, right) = steps.get(i), bounds.pop(i)
+            if step is None:  # no values
+                continue
+            rank = (step["total"] + 1) // 2
+            first = step["below"] + step["at_low"]
+            if not step["below"] < rank:
+                raise RuntimeError("the sketch missed its error bound")
+            if rank <= first:
+                found[i] = (left, left, step["below"], rank)
+            elif rank > first + step["between"]:
+                found[i] = (right, right, first + step["between"], rank)
+            elif step["between"] <= rows:
+                found[i] = (left, right, step["below"], rank)
+            else:
+                spot = (rank - first) / step["between"] * marks
+                lower, upper = math.floor(spot - 0.5), math.ceil(spot + 0.5)
+                bounds[i] = (
+                    step["marks"][lower - 1] if lower >= 1 else left,
+                    step["marks"][upper - 1] if upper < marks else right,
+                )
+    return found
+
+
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], buckets: int | None = None, rows: int = MEDIAN_ROWS
+) -> DataFrame:
+    """feature_name, median: the smallest value with half of the present values at or below it.
+
+    NULL and NaN do not count. A column without values has no row. Counting
+    passes narrow the bounds of every column's median (``buckets`` marks a
+    step, one step up to ``rows`` rows, two up to about fifty million) until
+    few rows lie between them; only those are shuffled and sorted. Runs the
+    counting passes.
+    """
+    numbers = df.select(*[_number(F.col(quoted(name))).alias(f"v{i}") for i, name in enumerate(columns)])
+    found = _median_bounds(numbers, len(columns), max(4, buckets or MEDIAN_MARKS), rows)
+    if not found:
+        return df.sparkSession.createDataFrame([], "feature_name string, median double")
+    spots, value = sorted(found), F.col("value")
+
+    def known(part: int) -> Column:
+        return F.get(_array(float(found[i][part]) for i in spots), F.col(POSITION))
+
+    def whole(part: int) -> Column:
+        return F.get(F.expr(f"array({', '.join(f'{found[i][part]}L' for i in spots)})"), F.col(POSITION))
+
+    upto = W.partitionBy(POSITION).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    upto_value = whole(2) + F.sum("n").over(upto)
+    medians = (
+        long_cells(numbers, [F.col(f"v{i}") for i in spots])
+        .where((value >= known(0)) & (value <= known(1)))
+        .groupBy(POSITION, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(POSITION, "value", "n", upto_value.alias("upto"), whole(3).alias("rank"))
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
     )
-    medians = half_reached(inside, "value", F.col("before"), F.col("n_present"))
-    return named(medians.select(POSITION, F.col("value").alias("median")), columns)
+    return named(medians.select(POSITION, value.alias("median")), [columns[i] for i in spots])

@@ -1,6 +1,7 @@
 """Physical plans that must stay as they are for large tables."""
 
 import os
+import re
 
 import pytest
 
@@ -51,9 +52,15 @@ def test_a_missing_key_filter_reaches_the_scan(spark):
     assert "IsNotNull(l_orderkey)" in text
 
 
-def test_areas_use_one_histogram(spark):
-    text = final_plan(m.ranking_metrics(v.scores(spark, DATA), buckets=8))
-    assert "ReusedExchange" in text and text.count("FileScan") == 1
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_areas_use_one_stored_histogram(spark, buckets):
+    """The source is read for the histogram alone; only totals, one row per range, meet in one task."""
+    text = final_plan(m.ranking_metrics(v.scores(spark, DATA), buckets=buckets))
+    assert "FileScan" not in text and "hashpartitioning(bucket" in text
+    windows = re.findall(r" Window .*", text)
+    inside = [window for window in windows if re.search(r"\], \[bucket#\d+\], \[score", window)]
+    starts = [window for window in windows if "total_tp" in window]
+    assert len(windows) == 2 and len(inside) == 1 and len(starts) == 1
 
 
 def test_exact_profile_scans_once(spark):

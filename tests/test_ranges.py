@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import f1_accuracy, ranking_metrics, roc_points, score_points
-from riskloom.operators.ranges import exact_medians, range_edges, running_totals
+from riskloom.operators.ranges import exact_medians, range_edges, running_totals, value_histogram
 
 
 def brute_totals(rows, descending):
@@ -49,6 +49,34 @@ def test_ranges_spread_distinct_values(spark, skewed):
     assert max(sizes) <= len(values) // 5
 
 
+@pytest.mark.parametrize("hot", [(0.5,), (0.25, 0.5, 0.75)])
+def test_hot_values_do_not_eat_the_edges(spark, hot):
+    """Nine rows of ten on few values: ranges still hold about the same number of distinct values."""
+    tail = spark.range(20_000).select(((F.col("id") + 1) / 20_001).alias("v"), F.lit(1).alias("n"))
+    heap = spark.range(180_000).select(F.element_at(F.lit(list(hot)), (F.col("id") % len(hot) + 1).cast("int")).alias("v"), F.lit(1).alias("n"))
+    hist = value_histogram(tail.unionByName(heap), "v", ["n"])
+    edges = range_edges(hist, "v", buckets=25)[None]
+    assert len(edges) == 24
+    place = sum((F.col("v") > edge).cast("int") for edge in edges)
+    sizes = [row["count"] for row in hist.groupBy(place.alias("range")).count().collect()]
+    assert len(sizes) == 25 and max(sizes) <= 2 * sum(sizes) / 25
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_medians_by_narrowing(spark, seed):
+    """Hot values inside and at the bounds, signs, infinities; as if a hundred rows were too many to sort."""
+    rng = random.Random(seed)
+    hot = rng.choice([0.0, 3.0, -7.5])
+    a = [hot if rng.random() < 0.4 else rng.gauss(0, 10) for _ in range(3000)]
+    b = [rng.choice([float("inf"), float("-inf"), rng.random()]) for _ in range(3000)]
+    c = [float(i) for i in range(3000)]
+    d = [rng.choice([1.0, 2.0]) for _ in range(3000)]
+    df = spark.createDataFrame(list(zip(a, b, c, d)), "a double, `b.x` double, c double, d double").repartition(4)
+    names = ["a", "b.x", "c", "d"]
+    got = {row["feature_name"]: row["median"] for row in exact_medians(df, names, buckets=8, rows=100).collect()}
+    assert got == {name: sorted(cells)[1499] for name, cells in zip(names, (a, b, c, d))}
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "v double, n long")
     assert running_totals(df, "v", ["n"]).collect() == []
