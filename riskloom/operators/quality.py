@@ -90,18 +90,30 @@ def check_predictions(df: DataFrame) -> None:
         raise ValueError("no prediction rows")
 
 
+# Strict JSON of any depth and length; a repeated name is allowed.
+STRICT_JSON = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "maxNestingDepth": "2147483647",
+    "maxNumLen": "2147483647",
+    "maxStringLen": "2147483647",
+}
+
+
 def is_json(line: Column) -> Column:
     """True where the whole text is one JSON value.
 
-    The parser stops after the first value, so the text is also parsed as the
-    only element of a list and as the only field of an object: whatever follows
-    the first value then spoils at least one of them.
+    The parser stops after the first value, so the text is parsed as the only
+    element of a list and as the only field of an object: whatever follows the
+    first value spoils at least one of them.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    field = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    some = F.try_variant_get(listed, "$[0]", "variant").isNotNull()
-    return F.coalesce(listed.isNotNull() & field.isNotNull() & alone & some, F.lit(False))
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT_JSON)
+    field = F.from_json(
+        F.concat(F.lit('{"v":'), line, F.lit("}")),
+        "v string, spoiled string",
+        {**STRICT_JSON, "columnNameOfCorruptRecord": "spoiled"},
+    )
+    return F.coalesce((F.size(listed) == 1) & field.isNotNull() & field["spoiled"].isNull(), F.lit(False))
 
 
 def json_line_validity(df: DataFrame, column: str = "value") -> DataFrame:

@@ -10,7 +10,7 @@ from riskloom import views as v
 from riskloom.functions.categories import best_model_text, source_feature, strip_order_prefix, trimmed
 from riskloom.operators import quality as q
 from riskloom.plans import exploration as x
-from riskloom.plans.ingest import TableSpec, audit
+from riskloom.plans.ingest import TableSpec, audit, run_ingest
 from riskloom.queries.rates import CATEGORY_SQL
 from riskloom.queries.registry import TXN, query
 from riskloom.session import scratch_path
@@ -111,13 +111,13 @@ def _as_text(frame, columns):
 
 @query("infer_schema", _infer_sql("orders", ORDER_COLUMNS))
 def infer_schema(spark, sf_dir):
-    return schema.infer_schema(_as_text(v.table(spark, sf_dir, "orders"), ORDER_COLUMNS), sample_rows=None)
+    return schema.infer_schema(_as_text(v.table(spark, sf_dir, "orders"), ORDER_COLUMNS))
 
 
 @query("infer_document_schema", _infer_sql("documents", DOCUMENT_COLUMNS))
 def infer_document_schema(spark, sf_dir):
     texts = _as_text(v.table(spark, sf_dir, "documents"), DOCUMENT_COLUMNS)
-    return schema.infer_schema(texts, sample_rows=None)
+    return schema.infer_schema(texts)
 
 
 @query("cast_to_schema",
@@ -208,6 +208,29 @@ def document_csv_round_trip(spark, sf_dir):
     return tables.read_table_csv(spark, path, documents.schema)
 
 
+@query("ingest_rejects",
+       "WITH lines AS (SELECT o_orderkey, o_orderkey % 50 AS r FROM orders), found AS ("
+       "SELECT 'null key' AS problem, count(*) FILTER (o_orderkey IS NULL) AS n_rows, true AS always FROM lines "
+       "UNION ALL SELECT 'duplicate key', count(*), true FROM (SELECT o_orderkey FROM lines GROUP BY 1 HAVING count(*) > 1) "
+       "UNION ALL SELECT 'malformed row', count(*) FILTER (r IN (7, 11)), false FROM lines "
+       "UNION ALL SELECT 'cell of no BIGINT in o_custkey', count(*) FILTER (r = 13), false FROM lines) "
+       "SELECT 'orders_text' AS table_name, problem, n_rows FROM found WHERE always OR n_rows > 0")
+def ingest_rejects(spark, sf_dir):
+    """A CSV of all orders, some lines short, some long, some keys no numbers: what the ingest reports."""
+    kind = F.col("o_orderkey") % 50
+    customer = F.when(kind == 13, "n/a").otherwise(F.col("o_custkey").cast("string"))
+    cells = F.when(kind == 7, F.array(F.col("o_orderkey").cast("string"), customer)).otherwise(
+        F.array(F.col("o_orderkey").cast("string"), customer, F.col("o_totalprice").cast("string"))
+    )
+    cells = F.when(kind == 11, F.array_append(cells, F.lit("more"))).otherwise(cells)
+    path = scratch_path(spark, "orders_csv")
+    lines = v.table(spark, sf_dir, "orders").select(F.array_join(cells, ",").alias("o_orderkey,o_custkey,o_totalprice"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    spec = TableSpec("orders_text", path, "o_orderkey", {"o_custkey": "BIGINT"})
+    _, problems = run_ingest(spark, [spec], scratch_path(spark, "orders_snapshot"))
+    return problems
+
+
 @query("json_line_validity",
        "SELECT origin, count(*) AS n_lines, count(*) FILTER (NOT json_valid(line)) AS n_corrupt FROM "
        "(SELECT 'events' AS origin, props AS line FROM events UNION ALL SELECT 'documents', text FROM documents "

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.longform import quoted
+
 
 def project_with_partition_last(df: DataFrame, source: str, partition: str) -> DataFrame:
     """All other columns in order, then ``source`` renamed to ``partition``."""
@@ -12,6 +17,14 @@ def project_with_partition_last(df: DataFrame, source: str, partition: str) -> D
     return df.select(*others, F.col(source).cast("int").alias(partition))
 
 
+def _placed(df: DataFrame, bucket: Sequence[str], buckets: int, files_per_bucket: int) -> DataFrame:
+    """Rows in the task of their bucket and of the hash of all their cells."""
+    number = F.pmod(F.hash(*[F.col(quoted(name)) for name in bucket]), F.lit(buckets))
+    hashable = [quoted(name) for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    place = F.pmod(F.xxhash64(*hashable), F.lit(files_per_bucket)).cast("int")
+    return df.repartitionById(buckets * files_per_bucket, number * files_per_bucket + place)
+
+
 def write_partitioned_bucketed(
     df: DataFrame,
     table: str,
@@ -25,20 +38,20 @@ def write_partitioned_bucketed(
 
     Rows of one bucket meet in ``files_per_bucket`` tasks before the write, so
     the file count is known and few buckets still write with all tasks; the
-    default spreads a bucket over the session's shuffle partitions. The salt
-    comes from the input task, so rows sharing a hot bucket value are split too.
+    default spreads a bucket over the session's shuffle partitions. Tasks are
+    numbered directly, and a row's place inside its bucket follows from all its
+    cells, so every task has work and rows sharing a hot bucket value are split.
+    Inserts into the table replace only the partitions they hold.
     """
     if files_per_bucket is None:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         files_per_bucket = max(1, tasks // buckets)
-    salt = F.pmod(F.spark_partition_id(), F.lit(files_per_bucket))
-    spread = df.repartition(
-        buckets * files_per_bucket, F.pmod(F.hash(F.col(bucket)), F.lit(buckets)), salt
-    )
+    spread = _placed(df, [bucket], buckets, files_per_bucket)
     writer = (
         spread.write.mode("overwrite")
         .format("orc")
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .bucketBy(buckets, bucket)
         .sortBy(bucket)
@@ -49,14 +62,20 @@ def write_partitioned_bucketed(
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace only the partitions that occur in ``df``; columns are matched by name."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    """Replace only the partitions that occur in ``df``; columns are matched by name.
+
+    The table itself is told to replace partitions one by one, so no setting of
+    the session changes. Rows of a bucketed table are placed as its first write does.
+    """
+    details = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+    rows = df.select(*[quoted(name) for name in spark.table(table).columns])
+    if details.get("Num Buckets"):
+        names = re.findall(r"`([^`]+)`", details["Bucket Columns"])
+        buckets = int(details["Num Buckets"])
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = _placed(rows, names, buckets, max(1, tasks // buckets))
+    rows.write.insertInto(table, overwrite=True)
 
 
 def materialize_result(df: DataFrame, table: str, path: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import csv
 import re
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,18 +39,32 @@ def validate_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_table_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    malformed: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Header CSV with empty cells as NULL; all columns are text unless a schema is given.
 
     Every file's header must match the schema, in order. Cells may hold line breaks;
     ``multi_line=False`` is for files that are known to have none, and lets Spark split them.
+    A row with too few or too many cells keeps those that have a column;
+    ``malformed`` names a further column with the whole line of such a row, and
+    ``strict`` stops at the first one instead.
     """
     if schema is None:
         names = validate_header(spark, path)
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    if malformed is not None:
+        if malformed in schema.names:
+            raise ValueError(f"{path}: there is a column {malformed!r}")
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
     return (
         spark.read.schema(schema)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", malformed or "")
         .option("header", True)
         .option("enforceSchema", False)
         .option("nullValue", "")
@@ -60,6 +75,17 @@ def read_table_csv(
     )
 
 
+def read_if_present(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame | None:
+    """Parquet files below a path, folders inside included; None where there is no such path."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    try:
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def missing_tables(available: Iterable[str], expected: Iterable[str]) -> list[str]:
     """Required names that are not there, in the order required."""
     present = set(available)
