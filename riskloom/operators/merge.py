@@ -12,12 +12,14 @@ def upsert(existing: DataFrame, new: DataFrame, key: str, sequence: str | None =
     """Rows of both frames, the last one per key; rows without a key are dropped.
 
     New rows come after existing ones; ``sequence`` orders rows inside a frame
-    where a key may repeat there. One aggregate that combines before the
-    shuffle, so a key repeated without bound is one row per task.
+    where a key may repeat there. Rows that are still even are ordered by their
+    cells, so the result does not depend on the layout of the data. One
+    aggregate that combines before the shuffle, so a key repeated without bound
+    is one row per task.
     """
     columns = existing.columns
     both = existing.withColumn("_run", F.lit(0)).unionByName(new.select(*columns).withColumn("_run", F.lit(1)))
-    position = F.struct("_run", sequence) if sequence else F.struct("_run")
+    position = F.struct("_run", *([sequence] if sequence else []), *[name for name in columns if name != sequence])
     present = F.col(key).isNotNull() & (F.col(key).cast("string") != "")
     latest = F.max_by(F.struct(*columns), position).alias("latest")
     return both.where(present).groupBy(key).agg(latest).select("latest.*").orderBy(key)

@@ -130,9 +130,11 @@ def upsert_results(spark, sf_dir):
 @query("latest_event_per_user",
        "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
 def latest_event_per_user(spark, sf_dir):
-    """Last writer wins over a long history with many rows per key."""
+    """Last writer wins when the later half of a long history, many rows per key, is merged into the earlier one."""
     events = v.table(spark, sf_dir, "events").select("user_id", "event_id", "value")
-    return g.upsert(events.limit(0), events, "user_id", "event_id")
+    middle = events.agg(F.avg("event_id")).scalar()
+    earlier, later = events.where(F.col("event_id") <= middle), events.where(F.col("event_id") > middle)
+    return g.upsert(earlier, later, "user_id", "event_id")
 
 
 @query("prefer_new",
@@ -180,8 +182,11 @@ def aligned_predictions(spark, sf_dir):
 
 @query("prediction_sample", f"{ALIGNED} ORDER BY transactionid LIMIT 1")
 def prediction_sample(spark, sf_dir):
-    """The first transaction with every model's answer."""
-    return g.first_by_key(g.aligned_predictions(two_models(spark, sf_dir), ["amount", "k"]), "transactionid")
+    """The first transaction with every model's answer; its key is found before anything is aligned."""
+    rows = two_models(spark, sf_dir)
+    answered = rows.where(F.col("model_name") == "amount")  # the other model answers everywhere
+    first = answered.agg(F.min("transactionid")).scalar()
+    return g.aligned_predictions(rows.where(F.col("transactionid") == first), ["amount", "k"])
 
 
 @query("prediction_export",
