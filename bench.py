@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from riskloom.operators.models import TrainingSettings, build_estimator, param_grid, pr_evaluator  # noqa: E402
+from riskloom.operators.models import TrainingSettings, area_under_pr, build_estimator, param_grid  # noqa: E402
 from riskloom.operators.sampling import with_folds  # noqa: E402
 from riskloom.plans.training import balanced_split, encode_split  # noqa: E402
 from riskloom.queries import QUERIES  # noqa: E402
@@ -73,7 +73,7 @@ def run_training(spark) -> dict[str, float]:
         estimator = build_estimator(name, settings)
         started = time.perf_counter()
         model = estimator.fit(folds.where("cv_fold <> 0"), param_grid(name, estimator)[0])
-        pr_evaluator().evaluate(model.transform(folds.where("cv_fold = 0")))
+        area_under_pr(model.transform(folds.where("cv_fold = 0")))
         seconds[f"{name}_fold"] = time.perf_counter() - started
     return {name: round(value, 3) for name, value in seconds.items()}
 

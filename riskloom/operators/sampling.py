@@ -97,17 +97,18 @@ def balance(
     mode: str = "full",
     balanced: bool = True,
     fraction: float = 0.35,
-    min_positive: int = 5000,
+    min_positive: int = 0,
     salt: str = "",
 ) -> DataFrame:
     """Training-size reduction with its fallbacks. Runs one aggregate.
 
-    Unchanged in smoke mode, for a fraction of 0.999 or more, where a class is
-    missing, and where the sample would have fewer than ``min_positive``
-    positives. Balanced samples carry ``class_weight`` 1.0; unbalanced mode
+    Unchanged in smoke mode, where a class is missing and, unbalanced, for a
+    fraction of 0.999 or more. ``min_positive`` leaves a frame as it is whose
+    sample would have fewer positives; it is off by default, since it turns one
+    positive more or less into another training set. Balanced samples carry ``class_weight`` 1.0; unbalanced mode
     keeps ``fraction`` of both classes.
     """
-    if mode == "smoke" or fraction >= 0.999:
+    if mode == "smoke" or (not balanced and fraction >= 0.999):
         return df
     known = df.where(F.col(label).isin(0, 1))
     kept = keep_fraction(keys, fraction, salt)
@@ -180,14 +181,14 @@ def split(
     return [df.where(part == number) for number in range(len(weights))]
 
 
-def training_partitions(rows: int, parallelism: int) -> int:
-    """Partitions for rows that will be read many times.
+def training_partitions(rows: int) -> int:
+    """Partitions for rows that will be read many times, from the number of rows alone.
 
-    Few thousand rows each until every core has two, then a quarter million
-    each: a sample drawn from a huge table must not keep that table's
-    partitions, nor a small one sit in a single task.
+    Fits depend on partitions, so the cluster has no say. Few thousand rows each
+    up to 64 partitions, then a quarter million each: a sample drawn from a huge
+    table must not keep that table's partitions, nor a small one sit in a single task.
     """
-    return max(1, min(rows // 4_000, 2 * parallelism), rows // 250_000)
+    return max(1, min(rows // 4_000, 64), rows // 250_000)
 
 
 def placed_by_key(df: DataFrame, keys: Keys, partitions: int) -> DataFrame:

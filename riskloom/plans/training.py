@@ -129,9 +129,7 @@ def encode_split(
     """
     counts = class_counts(train)
     weights = weights_of(counts)
-    partitions = settings.partitions or training_partitions(
-        sum(counts.values()), train.sparkSession.sparkContext.defaultParallelism
-    )
+    partitions = settings.partitions or training_partitions(sum(counts.values()))
     train = checkpointed(placed_by_key(train, KEY, partitions))
     test = checkpointed(placed_by_key(test, KEY, partitions))
     profile = profile_features(train, limits=thresholds(settings)).persist()

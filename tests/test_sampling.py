@@ -40,7 +40,8 @@ def test_salts_choose_different_rows(frame):
 def test_balance_fallbacks(frame):
     negatives = frame.where("label = 0")
     assert s.balance(frame, "transactionid", mode="smoke") is frame
-    assert s.balance(frame, "transactionid", fraction=1.0) is frame
+    assert s.balance(frame, "transactionid", balanced=False, fraction=1.0) is frame
+    assert s.class_counts(s.balance(frame, "transactionid", fraction=1.0))[0] < 1200
     assert s.balance(negatives, "transactionid") is negatives
     assert s.balance(frame, "transactionid", min_positive=1001) is frame
     done = s.balance(frame, "transactionid", min_positive=1000)

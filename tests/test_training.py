@@ -276,10 +276,10 @@ def test_prediction_check(spark):
 def test_partitions_follow_the_rows():
     from riskloom.operators.sampling import training_partitions
 
-    assert training_partitions(0, 8) == 1
-    assert training_partitions(28_000, 8) == 7
-    assert training_partitions(1_000_000, 8) == 16
-    assert training_partitions(10**9, 8) == 4000
+    assert training_partitions(0) == 1
+    assert training_partitions(28_000) == 7
+    assert training_partitions(1_000_000) == 64
+    assert training_partitions(10**9) == 4000
 
 
 def test_training_does_not_depend_on_source_partitions(frame):
