@@ -16,7 +16,7 @@ from riskloom.functions.categories import (
     source_feature,
     weight_by_label,
 )
-from riskloom.operators.longform import names_table
+from riskloom.operators.longform import names_table, quoted
 from riskloom.operators.profile import (
     TOP_CATEGORIES,
     category_coverage,
@@ -232,10 +232,10 @@ def prepare_features(
 
     def prepared(name: str) -> Column:
         if name in numeric:
-            return F.col(name).cast("double")
+            return F.col(quoted(name)).cast("double")
         if name in strings:
-            return map_top_k(F.col(name), plan.kept[name]) if name in plan.kept else fill_missing_string(F.col(name))
-        return F.col(name)
+            return map_top_k(F.col(quoted(name)), plan.kept[name]) if name in plan.kept else fill_missing_string(F.col(quoted(name)))
+        return F.col(quoted(name))
 
     columns = [prepared(name).alias(name) for name in df.columns if name != "class_weight"]
     return df.select(*columns, weight_by_label(F.col(label), weights).alias("class_weight"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.encode import build_pipeline, feature_names, vectorize
-from riskloom.operators.merge import aligned_predictions, first_by_key
+from riskloom.operators.merge import aligned_predictions, first_by_key, upsert
 from riskloom.operators.models import (
     TrainingSettings,
     build_estimator,
@@ -43,6 +43,7 @@ from riskloom.operators.selection import (
 )
 from riskloom.session import checkpointed
 from riskloom.sources.sinks import export_csv, export_jsonl
+from riskloom.sources.tables import read_if_present
 
 KEY = "transactionid"
 METRIC_SCHEMA = (
@@ -73,6 +74,7 @@ class TrainingResult:
     predictions: dict[str, DataFrame] = field(default_factory=dict)
     importances: dict[str, DataFrame] = field(default_factory=dict)
     logs: dict[str, DataFrame] = field(default_factory=dict)
+    settings: TrainingSettings = field(default_factory=TrainingSettings)
 
     def release(self) -> None:
         """Give up the cached vectors and predictions."""
@@ -189,11 +191,13 @@ def train_models(
     settings: TrainingSettings = TrainingSettings(),
     scores: DataFrame | None = None,
     stored: dict[str, tuple] | None = None,
+    log_directory: str | None = None,
 ) -> TrainingResult:
     """The whole flow over a modelling frame. Runs every fit; call ``release`` when done.
 
     ``stored`` gives models of an earlier run, as ``reuse_model`` returns them;
-    they are evaluated without tuning again.
+    they are evaluated without tuning again. Below ``log_directory`` every fit
+    leaves its row as it ends; a run that was cut short goes on from there.
     """
     spark = frame.sparkSession
     train, test = balanced_split(frame, settings)
@@ -211,6 +215,7 @@ def train_models(
                 encoded.train,
                 folds=settings.folds,
                 parallelism=settings.parallelism,
+                log_path=f"{log_directory.rstrip('/')}/{name}" if log_directory else None,
             )
             models[name], cv_metric = tuned.best_model, tuned.best_metric
             chosen = params_text(tuned.best_params)
@@ -239,12 +244,22 @@ def train_models(
         predictions,
         importances,
         logs,
+        settings,
     )
 
 
 def save_training(result: TrainingResult, directory: str) -> None:
-    """Write models, predictions, importances, logs, profile and metrics below ``directory``."""
+    """Write models, predictions, importances, logs, profile and metrics below ``directory``.
+
+    Models of earlier runs stay: their files lie beside, and their metrics are
+    merged with the new ones before the comparison is made. The merged metrics,
+    one row per model, pass through the driver, since they replace what they are made of.
+    """
     root = directory.rstrip("/")
+    spark = result.metrics.sparkSession
+    metrics, earlier = result.metrics, read_if_present(spark, f"{root}/metrics", METRIC_SCHEMA)
+    if earlier is not None:
+        metrics = spark.createDataFrame(upsert(earlier, metrics, "model_name").collect(), METRIC_SCHEMA)
     result.encoded.pipeline.write().overwrite().save(f"{root}/preprocessing")
     for name, model in result.models.items():
         save_model(model, f"{root}/models/{name}")
@@ -253,9 +268,10 @@ def save_training(result: TrainingResult, directory: str) -> None:
     for name, log in result.logs.items():
         log.write.mode("overwrite").parquet(f"{root}/logs/{name}")
     result.encoded.profile.write.mode("overwrite").parquet(f"{root}/feature_profile")
-    result.metrics.write.mode("overwrite").parquet(f"{root}/metrics")
+    metrics.write.mode("overwrite").parquet(f"{root}/metrics")
     export_csv(result.sample, f"{root}/prediction_sample", single_file=True)
-    result.comparison.write.mode("overwrite").text(f"{root}/model_comparison")
+    comparison = model_comparison(metrics, result.settings.mode, result.settings.seed)
+    comparison.write.mode("overwrite").text(f"{root}/model_comparison")
 
 
 def export_split(train: DataFrame, test: DataFrame, directory: str) -> None:

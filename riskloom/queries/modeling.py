@@ -1,4 +1,4 @@
-"""Fitted pipelines and models: rows only, there is no SQL for a tree."""
+"""Fitted pipelines and models. There is no SQL for a tree; what must hold around it has some."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom import views as v
 from riskloom.operators import models as m
+from riskloom.operators.cvlog import best_logged
 from riskloom.operators.encode import build_pipeline, feature_names
 from riskloom.operators.longform import names_table
 from riskloom.operators.sampling import fit_class_weights, split, split_part, with_folds
@@ -14,8 +15,9 @@ from riskloom.operators.selection import prepare_features, profile_features, fit
 from riskloom.plans.modeling import modeling_frame
 from riskloom.plans.training import encode_split, prediction_rows, train_models
 from riskloom.queries.registry import TXN, md5_bucket, query
+from riskloom.session import scratch_path
 
-SMOKE = m.TrainingSettings(mode="smoke", smoke_fraction=1.0)
+FULL = m.TrainingSettings(parallelism=4)
 
 
 def training_frame(spark, sf_dir):
@@ -36,7 +38,7 @@ def training_vectors(spark, sf_dir):
 def _predictions(spark, sf_dir, name):
     """Fit on 70 % of the vectors, score the rest."""
     train, test = split(training_vectors(spark, sf_dir), "transactionid")
-    model = m.build_estimator(name, SMOKE).fit(train)
+    model = m.build_estimator(name, FULL).fit(train)
     scored = m.score(model, test)
     return prediction_rows({name: scored})
 
@@ -100,41 +102,91 @@ def encoded_dimensions(spark, sf_dir):
     return names_table(vectors, names, "dimension")
 
 
-@query("scored_rows",
-       "SELECT vec_id AS transactionid, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, true AS consistent "
-       f"FROM embeddings WHERE {md5_bucket("'split|' || CAST(vec_id AS VARCHAR)")} >= 0.7::DOUBLE * 4294967296.0")
-def scored_rows(spark, sf_dir):
-    """A forest's answers for the held-out rows: probability and prediction must agree."""
+def _held_out(truth):
+    """The held-out vectors by the portable split, and that something holds for every one."""
+    return (
+        f"SELECT vec_id AS transactionid, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, true AS {truth} "
+        f"FROM embeddings WHERE {md5_bucket("'split|' || CAST(vec_id AS VARCHAR)")} >= 0.7::DOUBLE * 4294967296.0"
+    )
+
+
+def _fitted(spark, sf_dir, name):
+    """A model of the portable training part, and the part held out."""
     rows = training_vectors(spark, sf_dir)
     part = split_part("transactionid", portable=True)
-    scored = m.score(m.build_estimator("rf", SMOKE).fit(rows.where(part == 0)), rows.where(part == 1))
+    return m.build_estimator(name, FULL).fit(rows.where(part == 0)), rows.where(part == 1)
+
+
+def _consistent(scored):
     probability = m.positive_probability(F.col("probability"))
     consistent = (F.col("prediction") == (probability > 0.5).cast("double")) | (probability == 0.5)
     return scored.select("transactionid", "label", consistent.alias("consistent"))
 
 
+@query("scored_rows", _held_out("consistent"))
+def scored_rows(spark, sf_dir):
+    """A forest's answers for the held-out rows: probability and prediction must agree."""
+    return _consistent(m.score(*_fitted(spark, sf_dir, "rf")))
+
+
+@query("boosted_rows", _held_out("consistent"))
+def boosted_rows(spark, sf_dir):
+    """The same of all fifty boosting rounds."""
+    return _consistent(m.score(*_fitted(spark, sf_dir, "gbt")))
+
+
+@query("reloaded_model_rows", _held_out("same"))
+def reloaded_model_rows(spark, sf_dir):
+    """A stored and loaded forest answers as the fitted one did."""
+    model, held = _fitted(spark, sf_dir, "rf")
+    path = scratch_path(spark, "forest")
+    m.save_model(model, path)
+    again = m.score(m.LOADERS["rf"].load(path), held).select("transactionid", F.col("probability").alias("loaded"))
+    both = m.score(model, held).join(again, "transactionid")
+    return both.select("transactionid", "label", (F.col("probability") == F.col("loaded")).alias("same"))
+
+
 @query("importances")
 def importances(spark, sf_dir):
     """Forest importances with the names of the encoded dimensions."""
     train, test = split(training_frame(spark, sf_dir), "transactionid")
-    encoded = encode_split(train, test, SMOKE)
-    model = m.build_estimator("rf", SMOKE).fit(encoded.train)
+    encoded = encode_split(train, test, FULL)
+    model = m.build_estimator("rf", FULL).fit(encoded.train)
     encoded.train.unpersist(), encoded.test.unpersist(), encoded.profile.unpersist()
     return m.importance_rows(spark, encoded.names, model)
 
 
 @query("cv_log")
 def cv_log(spark, sf_dir):
-    """Cross-validation of the smoke grid with its per-fold log."""
-    estimator = m.build_estimator("rf", SMOKE)
-    tuned = m.grid_search_cv("rf", estimator, m.param_grid("rf", estimator, True), training_vectors(spark, sf_dir))
-    return tuned.log_frame(spark)
+    """Cross-validation of the whole forest grid with its per-fold log."""
+    estimator = m.build_estimator("rf", FULL)
+    vectors, grid = training_vectors(spark, sf_dir), m.param_grid("rf", estimator)
+    return m.grid_search_cv("rf", estimator, grid, vectors, parallelism=FULL.parallelism).log_frame(spark)
+
+
+@query("tuning_structure",
+       """WITH grid AS (SELECT CAST(row_number() OVER (ORDER BY trees, depth) AS INT) AS combo_index,
+         concat('{"maxDepth": ', depth, ', "numTrees": ', trees, '}') AS params_json
+       FROM (VALUES (20), (40), (60)) a(trees), (VALUES (4), (6), (8)) b(depth))
+       SELECT combo_index, params_json, CAST(3 AS BIGINT) AS n_folds, CAST(1 AS BIGINT) AS n_summaries, true AS mean_of_folds,
+         CAST(1 AS BIGINT) AS n_best FROM grid""")
+def tuning_structure(spark, sf_dir):
+    """The forest log by combination: its folds, its mean, and one best combination in all."""
+    log = cv_log(spark, sf_dir)
+    summary = F.col("fold_index") == "summary"
+    mean = F.max(F.when(summary, F.col("combo_mean_metric_pr")))
+    best = best_logged(log).agg(F.count(F.lit(1))).scalar()
+    return log.groupBy("combo_index", "params_json").agg(
+        F.count_if(~summary).alias("n_folds"),
+        F.count_if(summary).alias("n_summaries"),
+        (F.abs(mean - F.avg("fold_metric_pr")) < 1e-12).alias("mean_of_folds"),
+    ).select("*", best.alias("n_best"))
 
 
 @query("training_metrics")
 def training_metrics(spark, sf_dir):
-    """The whole training flow with both models in smoke size."""
-    result = train_models(training_frame(spark, sf_dir), SMOKE)
+    """The whole training flow: both models, their whole grids."""
+    result = train_models(training_frame(spark, sf_dir), FULL)
     result.release()
     return result.metrics
 
@@ -144,3 +196,16 @@ def hash_folds(spark, sf_dir):
     """Folds by Spark's own hash, as cross-validation uses them."""
     folds = with_folds(v.transactions(spark, sf_dir), "transactionid")
     return folds.groupBy("cv_fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("hash_fold_shares",
+       "SELECT CAST(3 AS BIGINT) AS n_folds, count(*) AS n_rows, true AS near_thirds FROM events")
+def hash_fold_shares(spark, sf_dir):
+    """The folds add up to the table, and each is within five standard deviations of a third."""
+    n, whole = F.col("n_rows"), F.sum("n_rows")
+    spread = 5 * F.sqrt(whole * 2 / 9)
+    return hash_folds(spark, sf_dir).agg(
+        F.count(n).alias("n_folds"),
+        whole.alias("n_rows"),
+        ((F.max(n) - whole / 3 <= spread) & (whole / 3 - F.min(n) <= spread)).alias("near_thirds"),
+    )

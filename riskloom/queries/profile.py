@@ -136,6 +136,21 @@ def approx_distinct(spark, sf_dir):
     return p.approx_distinct(wide(spark, sf_dir), list(WIDE_COLUMNS))
 
 
+@query("approx_distinct_bounds",
+       f"{WIDE_SQL} " + " UNION ALL ".join(
+           f"SELECT '{name}' AS feature_name, count(DISTINCT {name}) AS distinct_non_null, true AS within FROM wide"
+           for name in WIDE_COLUMNS))
+def approx_distinct_bounds(spark, sf_dir):
+    """Sketched counts lie within five relative standard deviations of the exact ones."""
+    frame = wide(spark, sf_dir)
+    sketched = p.approx_distinct(frame, list(WIDE_COLUMNS)).withColumnRenamed("distinct_non_null", "sketched")
+    exact = F.col("distinct_non_null")
+    within = F.abs(F.col("sketched") - exact) <= 5 * 0.05 * exact
+    return p.exact_distinct(frame, list(WIDE_COLUMNS)).join(sketched, "feature_name").select(
+        "feature_name", "distinct_non_null", within.alias("within")
+    )
+
+
 @query("top_categories",
        f"{WIDE_SQL}, counts AS ({counts_sql('wide', STRINGS)}), ranked AS (SELECT *, row_number() OVER "
        "(PARTITION BY feature_name ORDER BY n_rows DESC, value) AS position FROM counts WHERE value IS NOT NULL) "

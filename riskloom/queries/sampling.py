@@ -125,3 +125,35 @@ def training_fold_counts(spark, sf_dir):
     train = kept.where(s.split_part("transactionid", portable=True) == 0)
     folds = s.with_folds(train, "transactionid", 3, portable=True)
     return folds.groupBy("cv_fold", "is_fraud").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("balance_branches",
+       f"WITH {TXN}, n AS (SELECT count(*) AS rows, count(*) FILTER (is_fraud = 1) AS positives FROM txn) "
+       "SELECT 'smoke' AS branch, positives AS n_positive, rows AS n_rows FROM n "
+       "UNION ALL SELECT 'whole fraction', positives, rows FROM n "
+       "UNION ALL SELECT 'few positives', positives, rows FROM n "
+       "UNION ALL SELECT 'one class', 0, rows - positives FROM n "
+       "UNION ALL SELECT 'balanced', positives, NULL FROM n")
+def balance_branches(spark, sf_dir):
+    """Every way the training-size reduction can go; balanced, its negatives are a sample and not counted here."""
+    frame = v.transactions(spark, sf_dir).select("transactionid", F.col("is_fraud").alias("label"))
+    key = "transactionid"
+    branches = {
+        "smoke": s.balance(frame, key, mode="smoke"),
+        "whole fraction": s.balance(frame, key, balanced=False, fraction=1.0),
+        "few positives": s.balance(frame, key, min_positive=2**40),
+        "one class": s.balance(frame.where(F.col("label") == 0), key),
+        "balanced": s.balance(frame, key),
+    }
+    counted = [
+        rows.agg(
+            F.lit(name).alias("branch"),
+            F.count_if(F.col("label") == 1).alias("n_positive"),
+            (F.lit(None).cast("bigint") if name == "balanced" else F.count(F.lit(1))).alias("n_rows"),
+        )
+        for name, rows in branches.items()
+    ]
+    result = counted[0]
+    for part in counted[1:]:
+        result = result.unionByName(part)
+    return result

@@ -1,9 +1,11 @@
 """Encoding, cross-validation, model storage and the whole training flow."""
 
+import dataclasses
 import json
 import random
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -256,6 +258,42 @@ def test_saved_models_are_reused(spark, frame, result, folder):
     assert document["seed"] == 20
 
 
+def test_a_later_run_keeps_earlier_models(result, folder):
+    save_training(result, folder)
+    one = dataclasses.replace(result, metrics=result.metrics.where("model_name = 'rf'").withColumn("test_f1", F.lit(0.5)))
+    save_training(one, folder)
+    spark = result.metrics.sparkSession
+    rows = {row["model_name"]: row for row in spark.read.parquet(f"{folder}/metrics").collect()}
+    assert set(rows) == {"gbt", "rf"} and rows["rf"]["test_f1"] == 0.5
+    document = json.loads(spark.read.text(f"{folder}/model_comparison").first()[0])
+    assert {item["model_name"] for item in document["models"]} == {"gbt", "rf"}
+
+
+def test_metrics_equal_the_evaluators_without_bins(result):
+    for predictions in result.predictions.values():
+        got = m.evaluate(predictions)
+        for metric, name in (("areaUnderROC", "test_auc_roc"), ("areaUnderPR", "test_auc_pr")):
+            known = BinaryClassificationEvaluator(metricName=metric, numBins=0).evaluate(predictions)
+            assert got[name] == pytest.approx(known, abs=1e-9)
+        for metric, name in (("f1", "test_f1"), ("accuracy", "test_accuracy")):
+            assert got[name] == pytest.approx(MulticlassClassificationEvaluator(metricName=metric).evaluate(predictions))
+
+
+def test_tuning_goes_on_from_its_log(spark, result, folder):
+    """Stored fits are taken, a missing one is fitted, those of other parameters are not taken."""
+    train, estimator = result.encoded.train, m.build_estimator("rf")
+    grid, path = m.param_grid("rf", estimator)[:2], f"{folder}/log"
+    whole = m.grid_search_cv("rf", estimator, grid, train, log_path=path)
+    stamps = {row["fold_index"]: row["timestamp_utc"] for row in whole.log.where("combo_index = 1").collect()}
+    first = spark.read.parquet(f"{path}/fit_1_1").select("timestamp_utc").first()[0]
+    spark.createDataFrame([(first, 1, 2, 3, 0.0, 0.0, "{}")], m.FIT_SCHEMA).write.mode("overwrite").parquet(f"{path}/fit_1_2")
+    again = m.grid_search_cv("rf", estimator, grid, train, log_path=path)
+    assert again.best_metric == whole.best_metric and again.best_params == whole.best_params
+    later = {row["fold_index"]: row["timestamp_utc"] for row in again.log.where("combo_index = 1").collect()}
+    assert later["1"] == first and later["3"] == spark.read.parquet(f"{path}/fit_1_3").first()["timestamp_utc"]
+    assert later["2"] > stamps["2"]
+
+
 def test_pruning_by_importance_narrows_the_plan(spark, frame):
     scores = spark.createDataFrame([("v1", 3.0), ("productcd", 2.0)], "feature_name string, score double")
     settings = m.TrainingSettings(prune_by_importance=True, max_numeric=1, max_string=1)
