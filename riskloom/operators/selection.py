@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -19,7 +20,6 @@ from riskloom.functions.categories import (
 from riskloom.operators.longform import names_table, quoted
 from riskloom.operators.profile import (
     TOP_CATEGORIES,
-    category_coverage,
     column_stats,
     exact_column_stats,
     feature_columns,
@@ -81,9 +81,11 @@ def profile_features(
     """One row per column: type, null ratio, distinct values, category shares and the decision.
 
     Two passes whatever the number of columns: one for nulls and distinct
-    sketches, one that counts the string values. ``distinct="exact"`` counts the
-    values of all columns, for decisions that must not vary by a sketch's error. Category shares are NULL where an earlier rule has decided. Ratios
-    are decided on as they are and shown with six places.
+    sketches of the other columns, one that counts the values of string columns.
+    Decisions rest on exact numbers: a sketch only tells one value from several.
+    ``distinct="exact"`` counts the values of all columns. Category shares are
+    NULL where an earlier rule has decided. Ratios are decided on as they are
+    and shown with six places.
     """
     if distinct not in ("approx", "exact"):
         raise ValueError(f"unknown distinct mode: {distinct}")
@@ -94,14 +96,12 @@ def profile_features(
     if distinct == "exact":
         stats = exact_column_stats(df, names, limits.top_keep)
     else:
-        stats = column_stats(df, names)
-        if strings:
-            shares = category_coverage(value_counts(df, strings, digest=True), limits.top_keep)
-            shares = shares.select("feature_name", "dominant_ratio", "top_category_coverage")
-            stats = stats.join(F.broadcast(shares), "feature_name", "left")
-        else:
-            none = F.lit(None).cast("double")
-            stats = stats.withColumns({"dominant_ratio": none, "top_category_coverage": none})
+        none = F.lit(None).cast("double")
+        shares = {"dominant_ratio": none, "top_category_coverage": none}
+        others = [name for name in names if name not in strings]
+        parts = [column_stats(df, others).withColumns(shares)] if others or not strings else []
+        parts += [exact_column_stats(df, strings, limits.top_keep)] if strings else []
+        stats = reduce(DataFrame.unionByName, parts)
     described = names_table(
         df, names, source_type=kinds, spark_type=[types[name].simpleString() for name in names]
     )

@@ -175,6 +175,22 @@ def feature_profile(spark, sf_dir):
     return _profile(spark, sf_dir)
 
 
+@query("training_profile",
+       f"{WIDE_PROFILE} SELECT feature_name, source_type, round(null_ratio, 6) AS null_ratio, "
+       "CASE WHEN source_type = 'string' THEN distinct_non_null END AS n_values, "
+       "round(top_category_coverage, 6) AS top_category_coverage, inclusion_decision FROM decided")
+def training_profile(spark, sf_dir):
+    """The profile as training takes it; counts of numeric columns are sketches and not shown."""
+    return s.profile_features(wide(spark, sf_dir)).select(
+        "feature_name",
+        "source_type",
+        "null_ratio",
+        F.when(F.col("source_type") == "string", F.col("distinct_non_null")).alias("n_values"),
+        "top_category_coverage",
+        "inclusion_decision",
+    )
+
+
 @query("document_profile", f"{profile_sql('', 'documents', DOC_COLUMNS)} {PROFILE_OUT}")
 def document_profile(spark, sf_dir):
     """Whole texts as a category: too many values, too little coverage."""

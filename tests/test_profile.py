@@ -184,3 +184,10 @@ def test_awkward_column_names(spark):
     assert rows == dict(zip(names, [1, 2, 1, 1, 0]))
     assert {r["feature_name"] for r in s.profile_features(df, exclude=()).collect()} == set(names)
     assert {r["feature_name"]: r["n_null"] for r in p.null_profile(df).collect()}["Ünï"] == 2
+
+
+def test_profile_of_text_columns_only(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "x")], "s string, t string")
+    rows = {row["feature_name"]: row for row in s.profile_features(df).collect()}
+    assert (rows["s"]["distinct_non_null"], rows["t"]["distinct_non_null"]) == (2, 1)
+    assert rows["s"]["source_type"] == "string" and rows["t"]["inclusion_decision"] == "drop_constant_or_empty"
