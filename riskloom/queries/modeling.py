@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from riskloom.queries.registry import TXN, md5_bucket, query
 from riskloom.session import scratch_path
 
 FULL = m.TrainingSettings(parallelism=4)
+SMOKE = m.TrainingSettings(mode="smoke", smoke_fraction=1.0)
 
 
 def training_frame(spark, sf_dir):
@@ -185,8 +188,16 @@ def tuning_structure(spark, sf_dir):
 
 @query("training_metrics")
 def training_metrics(spark, sf_dir):
-    """The whole training flow: both models, their whole grids."""
-    result = train_models(training_frame(spark, sf_dir), FULL)
+    """The training flow over all rows with both models, each with the one combination of the smoke mode."""
+    result = train_models(training_frame(spark, sf_dir), SMOKE)
+    result.release()
+    return result.metrics
+
+
+@query("forest_training_metrics")
+def forest_training_metrics(spark, sf_dir):
+    """The training flow in full: balanced rows, the forest's whole grid."""
+    result = train_models(training_frame(spark, sf_dir), replace(FULL, models=("rf",)))
     result.release()
     return result.metrics
 
