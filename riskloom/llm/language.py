@@ -7,6 +7,7 @@ import html
 import math
 import operator
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,26 +18,38 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import join_null_safe, stored
 
-#: The text model is fitted on at most this many labelled texts of each of at most MOST_LANGUAGES languages.
+#: The text model is fitted on at most this many labelled texts of each language.
 SAMPLE_PER_LANGUAGE = 500
-MOST_LANGUAGES = 32
 BUCKETS = 1 << 14
-#: Class of texts that no language explains better than chance.
+#: Class of texts that no language of the model explains better than chance.
 UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.01
 #: Log likelihood, against zero for any language, of a text without a letter being in none.
 NO_TEXT = 60.0
 #: Every character is in three trigrams, which are no independent evidence.
 TEMPER = 1 / 3
+#: Text with this many letters or more is noise if they come nearly evenly: two letters of it are alike
+#: less than EVEN times as often as of evenly drawn ones. Prose in any alphabet has 1.5 times and more.
+LETTERS_TO_JUDGE = 30
+EVEN = 1.3
+#: Beyond this lead of a language over chance no other evidence makes a text unknown.
+CLEAR = 60.0
 SITE_WEIGHT, HOST_WEIGHT, TABLE_WEIGHT = 10.0, 5.0, 20.0
 #: Bytes of a text that are looked up at once.
 STRIDE = 1 << 16
 
 SCRIPTS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
 TAGS = re.compile(r"<[^<>]*>")
+NAME = r"^([A-Za-z]+)"
 DECLARED = r"(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]+)"
 
 
+def language_name(column: str) -> Column:
+    """The language of a label or declaration without its region or script, in lower case; null where there is none."""
+    name = F.lower(F.regexp_extract(F.coalesce(F.col(column), F.lit("")), NAME, 1))
+    return F.when(name != "", name)
+
+
 def visible_text(markup: str | None) -> str:
     return html.unescape(TAGS.sub(" ", SCRIPTS.sub(" ", markup or "")))
 
@@ -59,12 +72,31 @@ def trigram_buckets(text: str) -> Iterator[np.ndarray]:
         yield buckets[letters[:-2] & letters[1:-1] & letters[2:]]
 
 
+def is_noise(text: str, letters: frozenset[str]) -> bool:
+    """Whether a text that no language of the model explains has no letters, or letters drawn evenly.
+
+    Few letters, or mostly others than the model has seen, are no ground to call a text noise.
+    """
+    counts = {c: n for c, n in Counter(text.lower()).items() if c.isalpha()}
+    n = sum(counts.values())
+    if not n:
+        return True
+    if n < LETTERS_TO_JUDGE or 2 * sum(k for c, k in counts.items() if c in letters) < n:
+        return False
+    alphabet = len(counts) if n >= 10 * len(counts) else max(len(counts), 26)
+    return alphabet * sum(k * (k - 1) for k in counts.values()) < EVEN * n * (n - 1)
+
+
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities of trigram buckets, a column per language; an unknown text draws them evenly."""
+    """Log probabilities of trigram buckets, a column per language; an unknown text draws them evenly.
+
+    ``letters`` are those of the texts it was fitted on.
+    """
 
     languages: tuple[str, ...]
     table: np.ndarray
+    letters: frozenset[str] = frozenset()
 
     @property
     def classes(self) -> tuple[str, ...]:
@@ -85,42 +117,49 @@ class TextModel:
 def fit_text_model(labelled: DataFrame) -> TextModel:
     """Fit on a bounded sample of ``labelled`` (doc_id, text, lang): the rows with the smallest hashes of their id.
 
-    Counts of trigrams are grouped sums; what comes to the driver is at most
-    BUCKETS numbers for each of MOST_LANGUAGES languages.
+    Every labelled language is a class, whatever their number; regions and scripts
+    of a label do not count. Counts of trigrams are grouped sums; what comes to the
+    driver is at most BUCKETS numbers for each language, and the letters seen.
     """
-    known = labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "") & (F.col("lang") != UNKNOWN))
-    frequent = known.groupBy(F.lower("lang").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = tuple(sorted(row["lang"] for row in frequent))
+    known = labelled.withColumn("lang", language_name("lang")).where(F.col("lang") != UNKNOWN)
+    sizes = known.groupBy("lang").count().collect()
+    languages = tuple(sorted(row["lang"] for row in sizes))
     if not languages:
         return TextModel((), np.zeros((BUCKETS, 0)))
+    numbers = {lang: k for k, lang in enumerate(languages)}
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)  # evenly spread from 0 to 2 ** 63
     # rows that can be among the smallest: twice as many as are taken, whatever the size of the table
-    reach = F.lit(None).cast("long")
-    for row in frequent:
-        reach = F.when(F.col("lang") == row["lang"], min((1 << 63) - 1, 2 * SAMPLE_PER_LANGUAGE * (1 << 63) // row["count"])).otherwise(reach)
+    reach = [(row["lang"], min((1 << 63) - 1, 2 * SAMPLE_PER_LANGUAGE * (1 << 63) // row["count"])) for row in sizes]
+    reach = F.broadcast(labelled.sparkSession.createDataFrame(reach, "lang string, reach long"))
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
-    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("lang").alias("lang")).withColumn("place", place)
-    rows = rows.where(F.col("place") <= reach).withColumn("nth", F.row_number().over(order))
+    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").withColumn("place", place)
+    rows = rows.join(reach, "lang").where("place <= reach").withColumn("nth", F.row_number().over(order))
     chosen = rows.where(F.col("nth") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
-    # at most SAMPLE_PER_LANGUAGE * MOST_LANGUAGES short rows
-    texts = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("lang").alias("lang"), "text")
+    # at most SAMPLE_PER_LANGUAGE short rows a language
+    texts = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     texts = join_null_safe(texts, F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), BUCKETS), np.int64)
+        letters: set[str] = set()
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for buckets in trigram_buckets(text or ""):
-                    sums[languages.index(lang)] += np.bincount(buckets, minlength=BUCKETS)
+                    sums[numbers[lang]] += np.bincount(buckets, minlength=BUCKETS)
+                letters.update((text or "").lower())
         lang, bucket = np.nonzero(sums)
-        columns = [pa.array(lang, pa.int64()), pa.array(bucket, pa.int64()), pa.array(sums[lang, bucket])]
+        points = [ord(c) for c in letters if c.isalpha()]  # as language -1
+        columns = [np.r_[lang, np.full(len(points), -1)], np.r_[bucket, points], np.r_[sums[lang, bucket], np.ones(len(points))]]
+        columns = [pa.array(column.astype(np.int64)) for column in columns]
         yield pa.RecordBatch.from_arrays(columns, names=["language", "bucket", "n"])
 
     counted = texts.select("lang", "text").mapInArrow(count, "language long, bucket long, n long")
     sums = np.full((BUCKETS, len(languages)), 0.1)
-    for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
-        sums[row["bucket"], row["language"]] += row["n"]
-    return TextModel(languages, np.log(sums / sums.sum(axis=0)))
+    totals = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    lang, bucket, n = (totals.column(k).to_numpy() for k in range(3))
+    of_texts = lang >= 0
+    sums[bucket[of_texts], lang[of_texts]] += n[of_texts]
+    return TextModel(languages, np.log(sums / sums.sum(axis=0)), frozenset(map(chr, bucket[~of_texts].tolist())))
 
 
 def page_fields(pages: DataFrame) -> DataFrame:
@@ -143,34 +182,37 @@ def document_key() -> Column:
 
 def document_fields(docs: DataFrame) -> DataFrame:
     """The same of documents (doc_id, text, lang, source): the source is the host and ``lang`` what is declared."""
-    declared = F.lower(F.regexp_extract(F.coalesce("lang", F.lit("")), r"^([A-Za-z]+)", 1))
     return docs.select(
         F.col("doc_id").cast("long").alias("_id"),
         document_key().alias("_key"),
         F.coalesce("text", F.lit("")).alias("body"),
         F.col("source").cast("string").alias("host"),
-        F.when(declared != "", declared).alias("declared"),
+        language_name("lang").alias("declared"),
         F.lit(None).cast("string").alias("site"),
         F.lit(None).cast("string").alias("suffix"),
     )
 
 
 def text_evidence(fields: DataFrame, model: TextModel, markup: bool) -> DataFrame:
-    """The fields without the body, and for each class the log likelihood ``l_k`` and the posterior ``p_k`` of the text alone."""
+    """The fields without the body, and for each class the log likelihood ``l_k`` and the posterior ``p_k`` of the text alone.
+
+    ``noise`` tells of texts that may be unknown whether they look like noise.
+    """
     n = len(model.classes)
     prior = np.log(np.array([*[(1 - UNKNOWN_PRIOR) / max(n - 1, 1)] * (n - 1), UNKNOWN_PRIOR]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            likely = np.array([model.log_likelihoods(visible_text(t) if markup else t or "") for t in texts]).reshape(-1, n)
+            texts = [visible_text(t) if markup else t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            likely = np.array([model.log_likelihoods(t) for t in texts]).reshape(-1, n)
+            noise = [bool(l[-1] >= l.max() - CLEAR) and is_noise(t, model.letters) for t, l in zip(texts, likely)]
             posterior = softmax(likely + prior)
-            columns = [batch.column(k) for k in range(batch.num_columns - 1)]
+            columns = [*(batch.column(k) for k in range(batch.num_columns - 1)), pa.array(noise, pa.bool_())]
             columns += [pa.array(np.ascontiguousarray(column)) for table in (likely, posterior) for column in table.T]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *[f"{x}_{k}" for x in "lp" for k in range(n)]])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "noise", *[f"{x}_{k}" for x in "lp" for k in range(n)]])
 
     kept = ["_id", "_key", "host", "site", "suffix", "declared"]
-    schema = "_id long, _key long, host string, site string, suffix string, declared string, "
+    schema = "_id long, _key long, host string, site string, suffix string, declared string, noise boolean, "
     schema += ", ".join(f"{x}_{k} double" for x in "lp" for k in range(n))
     return fields.select(*kept, "body").mapInArrow(score, schema)
 
@@ -181,7 +223,7 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def fused(evidence: DataFrame, model: TextModel) -> DataFrame:
-    """(_id, _key, host, declared, text_language, language, confidence): the posterior over all evidence.
+    """(_id, _key, host, declared, noise, text_language, language, confidence): the posterior over all evidence.
 
     Host priors are smoothed towards those of the site, the last two labels of
     the host, and these towards all pages: every level is a grouped sum of the
@@ -196,20 +238,21 @@ def fused(evidence: DataFrame, model: TextModel) -> DataFrame:
     mass = sum(overall) or 1.0
     everywhere = [(overall[k] + 1 / n) / (mass + 1) for k in range(n)]
 
+    def total(prefix: str) -> Column:
+        return functools.reduce(operator.add, [F.col(f"{prefix}_{k}") for k in range(n)]).alias(f"{prefix}_all")
+
+    # totals are columns of their own, so that no expression grows with the square of the number of classes
     hosts = evidence.groupBy("host", "site").agg(*[s.alias(f"h_{k}") for k, s in enumerate(sums)])
     sites = hosts.groupBy("site").agg(*[F.sum(f"h_{k}").alias(f"s_{k}") for k in range(n)])
-    hosts = join_null_safe(hosts, sites, ["site"])
+    hosts = join_null_safe(hosts.select("*", total("h")), sites.select("*", total("s")), ["site"])
     rows = join_null_safe(evidence, hosts, ["host", "site"])
 
-    def total(prefix: str) -> Column:
-        return functools.reduce(operator.add, [F.col(f"{prefix}_{k}") for k in range(n)])
-
     site_known, host_known = F.col("site").isNotNull(), F.col("host").isNotNull()
     priors = []
     for k in range(n):
-        by_site = (F.col(f"s_{k}") - F.col(f"p_{k}") + SITE_WEIGHT * everywhere[k]) / (total("s") - 1 + SITE_WEIGHT)
+        by_site = (F.col(f"s_{k}") - F.col(f"p_{k}") + SITE_WEIGHT * everywhere[k]) / (F.col("s_all") - 1 + SITE_WEIGHT)
         upper = F.when(site_known, by_site).otherwise(F.lit(everywhere[k]))
-        by_host = (F.col(f"h_{k}") - F.col(f"p_{k}") + HOST_WEIGHT * upper) / (total("h") - 1 + HOST_WEIGHT)
+        by_host = (F.col(f"h_{k}") - F.col(f"p_{k}") + HOST_WEIGHT * upper) / (F.col("h_all") - 1 + HOST_WEIGHT)
         priors.append(F.greatest(F.when(host_known, by_host).otherwise(upper), F.lit(1e-9)))
 
     # declarations outside the model's languages are one value, so this table has at most n rows
@@ -220,27 +263,26 @@ def fused(evidence: DataFrame, model: TextModel) -> DataFrame:
         if row["value"] is not None
     }
     stated = [sum(counts[k] for counts in declared.values()) for k in range(n)]
-    rows = rows.withColumn("_value", value)
-    says = []
-    for k in range(n):
-        chance = F.lit(1.0)
-        for name, counts in declared.items():
-            expected = 0.8 if name == classes[k] else 0.2 / n
-            chance = F.when(F.col("_value") == name, (counts[k] + TABLE_WEIGHT * expected) / (stated[k] + TABLE_WEIGHT)).otherwise(chance)
-        says.append(chance)
+    chances = [
+        (name, *[(counts[k] + TABLE_WEIGHT * (0.8 if name == classes[k] else 0.2 / n)) / (stated[k] + TABLE_WEIGHT) for k in range(n)])
+        for name, counts in declared.items()
+    ]
+    chances = evidence.sparkSession.createDataFrame(chances, "_value string, " + ", ".join(f"c_{k} double" for k in range(n)))
+    rows = rows.withColumn("_value", value).join(F.broadcast(chances), "_value", "left")
+    says = [F.coalesce(f"c_{k}", F.lit(1.0)) for k in range(n)]
 
     suffixes = evidence.where("suffix is not null").groupBy("suffix").agg(*[s.alias(f"x_{k}") for k, s in enumerate(sums)])
     seen = suffixes.agg(*[F.coalesce(F.sum(f"x_{k}"), F.lit(0.0)).alias(f"x_{k}") for k in range(n)]).first()
     seen_all = sum(seen) or 1.0
-    rows = rows.join(suffixes, "suffix", "left")
+    rows = rows.join(suffixes.select("*", total("x")), "suffix", "left")
     score = []
     for k in range(n):
-        share = total("x") / seen_all  # of the suffix in all pages, towards which its share in a language is smoothed
+        share = F.col("x_all") / seen_all  # of the suffix in all pages, towards which its share in a language is smoothed
         suffix = (F.col(f"x_{k}") + TABLE_WEIGHT * share) / (seen[k] + TABLE_WEIGHT)
         suffix = F.coalesce(suffix, F.lit(1.0))
         score.append((F.col(f"l_{k}") + F.log(priors[k]) + F.log(says[k]) + F.log(suffix)).alias(f"z_{k}"))
 
-    rows = rows.select("_id", "_key", "host", "declared", *[f"l_{k}" for k in range(n)], *score)
+    rows = rows.select("_id", "_key", "host", "declared", "noise", *[f"l_{k}" for k in range(n)], *score)
     names = F.array(*[F.lit(c) for c in classes])
     z, text = F.array(*[f"z_{k}" for k in range(n)]), F.array(*[f"l_{k}" for k in range(n)])
     top = F.array_max(z)
@@ -250,6 +292,7 @@ def fused(evidence: DataFrame, model: TextModel) -> DataFrame:
         "_key",
         "host",
         "declared",
+        "noise",
         F.element_at(names, F.array_position(text, F.array_max(text)).cast("int")).alias("text_language"),
         F.element_at(names, F.array_position(z, top).cast("int")).alias("language"),
         (1 / weight).alias("confidence"),
@@ -269,11 +312,11 @@ def page_languages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     repeat get a row each. Without labelled rows every page is unknown.
     """
     found = identified(page_fields(pages), fit_text_model(labelled), True)
-    return found.withColumnRenamed("_id", "page_id").drop("_key")
+    return found.withColumnRenamed("_id", "page_id").drop("_key", "noise")
 
 
 def document_languages(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """(doc_id, _key, declared, text_language, language, confidence) of every document (doc_id, text, lang, source)."""
+    """(doc_id, _key, declared, noise, text_language, language, confidence) of every document (doc_id, text, lang, source)."""
     found = identified(document_fields(docs), fit_text_model(labelled), False)
     return found.withColumnRenamed("_id", "doc_id").drop("host")
 
@@ -281,8 +324,11 @@ def document_languages(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are in some language by all evidence; every column as it was.
 
-    Rejected are texts that chance explains better than any language, with their
-    source and declared language taken into account: empty texts, symbols, noise.
+    Rejected are texts that chance explains better than any language of the model,
+    with their source and declared language taken into account, and that look like
+    noise themselves: empty texts, symbols, evenly drawn letters. Texts in a language
+    or in letters that no labelled text has are not noise.
     """
-    rejected = document_languages(docs, labelled).where(F.col("language") == UNKNOWN).select("doc_id", "_key").distinct()
+    noise = document_languages(docs, labelled).where((F.col("language") == UNKNOWN) & F.col("noise"))
+    rejected = noise.select("doc_id", "_key").distinct()
     return join_null_safe(docs.withColumn("_key", document_key()), rejected, ["doc_id", "_key"], "left_anti").drop("_key")
