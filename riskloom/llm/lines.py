@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import components, stored, text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
-THRESHOLD = 1
+#: (characters, edits): lines of so many characters and more may differ in so many edits; of two lines the shorter one decides.
+THRESHOLD = ((0, 1), (40, 3), (120, 5))
+Threshold = int | tuple[tuple[int, int], ...]
 #: Places of the table that tells which lines are in a pair at all; it goes to every task.
 SIEVE = 1 << 20
 #: Letters whose numbers in a line are compared before the line itself; each in 4 bits, modulo 16.
@@ -24,6 +26,27 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def classes_of(threshold: Threshold) -> list[tuple[int, int | None, int]]:
+    """(first length, length beyond the last, edits) of every class; one number holds for all lengths."""
+    steps = ((0, threshold),) if isinstance(threshold, int) else threshold
+    ends = [*(first for first, _ in steps[1:]), None]
+    return [(first, end, edits) for (first, edits), end in zip(steps, ends)]
+
+
+def most_edits(threshold: Threshold) -> int:
+    return max(edits for _, _, edits in classes_of(threshold))
+
+
+def by_class(length: Column, threshold: Threshold, value: Callable[[int], Column | None]) -> Column:
+    """``value`` of the edits that lines of this length allow; null where it gives none."""
+    chosen = F.lit(None).cast("long")
+    for first, end, edits in classes_of(threshold):
+        inside = length >= first if end is None else (length >= first) & (length < end)
+        if (result := value(edits)) is not None:
+            chosen = F.when(inside, result).otherwise(chosen)
+    return chosen
+
+
 def banded_distance(left: Column, right: Column, threshold: int) -> Column:
     """Edit distance of two arrays of characters whose lengths differ by at most ``threshold``; exact up to it.
 
@@ -123,34 +146,54 @@ def segment_key(line: Column, length: Column, part: int, first: Column, size: Co
     return F.xxhash64(length.cast("int"), F.lit(part), F.substring(line, first + 1, size))
 
 
-def segment_keys(threshold: int) -> list[Column]:
-    """Keys of the ``threshold`` + 1 segments of a line."""
-    parts = threshold + 1
-    bounds = [segment_bounds(F.col("length"), parts, part) for part in range(parts)]
-    return [segment_key(F.col("line"), F.col("length"), part, first, size) for part, (first, size) in enumerate(bounds)]
+def segment_keys(threshold: Threshold) -> list[Column]:
+    """Keys of the segments of a line, one more than the edits its length allows."""
+
+    def own(part: int, edits: int) -> Column | None:
+        if part > edits:
+            return None
+        first, size = segment_bounds(F.col("length"), edits + 1, part)
+        return segment_key(F.col("line"), F.col("length"), part, first, size)
 
+    return [
+        by_class(F.col("length"), threshold, lambda edits, part=part: own(part, edits)) for part in range(most_edits(threshold) + 1)
+    ]
 
-def probe_keys(threshold: int) -> list[Column]:
+
+def probe_keys(threshold: Threshold) -> list[Column]:
     """Keys of the substrings of a line that can be a segment of a line as long or shorter.
 
     For a line shorter by ``shorter`` and its segment ``part``, a substring can only
     match if it starts close enough to the segment's own place: the edits in
-    front of it are at most ``part``, those behind it at most the rest of the threshold.
+    front of it are at most ``part``, those behind it at most the rest of the
+    threshold. The shorter line's length says how many edits and segments there are.
     """
-    parts, keys = threshold + 1, []
-    for shorter in range(threshold + 1):
+    most, keys = most_edits(threshold), []
+
+    def asked(shorter: int, part: int, shift: int, edits: int) -> Column | None:
+        if max(shorter, part) > edits or abs(shift) > part or abs(shorter - shift) > edits - part:
+            return None
         target = F.col("length") - shorter
-        for part in range(parts):
-            first, size = segment_bounds(target, parts, part)
-            for shift in range(-threshold, threshold + 1):
-                if abs(shift) <= part and abs(shorter - shift) <= threshold - part:
-                    start = first + shift
-                    fits = (target >= 0) & (start >= 0) & (start + size <= F.col("length"))
-                    keys.append(F.when(fits, segment_key(F.col("line"), target, part, start, size)))
+        first, size = segment_bounds(target, edits + 1, part)
+        start = first + shift
+        fits = (target >= 0) & (start >= 0) & (start + size <= F.col("length"))
+        return F.when(fits, segment_key(F.col("line"), target, part, start, size))
+
+    for shorter in range(most + 1):
+        for part in range(most + 1):
+            for shift in range(-most, most + 1):
+                uses = [asked(shorter, part, shift, edits) is not None for _, _, edits in classes_of(threshold)]
+                if any(uses):
+                    keys.append(
+                        by_class(
+                            F.col("length") - shorter, threshold,
+                            lambda edits, at=(shorter, part, shift): asked(*at, edits),
+                        )
+                    )
     return keys
 
 
-def distinct_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def distinct_lines(docs: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
     """(line_id, first_doc_id, copies, letters, keys) of every distinct line, stored.
 
     The text stays where it is read: its keys, a few longs, are all that is
@@ -168,7 +211,7 @@ def distinct_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return stored(keyed.groupBy("line_id").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies"), *same), "lines")
 
 
-def candidates(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def candidates(lines: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
     """(a, b): pairs of lines, a < b, that share a segment and whose letters are not too far apart."""
 
     def exploded(prefix: str) -> Column:
@@ -177,7 +220,7 @@ def candidates(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     index = lines.select(exploded("own_"), F.col("line_id").alias("x"), F.col("letters").alias("lx"))
     probe = lines.select(exploded("ask_"), F.col("line_id").alias("y"), F.col("letters").alias("ly"))
-    near = (F.col("x") != F.col("y")) & (counts_apart(F.col("lx"), F.col("ly")) <= threshold)
+    near = (F.col("x") != F.col("y")) & (counts_apart(F.col("lx"), F.col("ly")) <= most_edits(threshold))
     pairs = probe.join(index, (probe["key"] == index["key"]) & near)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -195,27 +238,30 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return lines.join(wanted, "line_id", "left_semi")
 
 
-def line_links(docs: DataFrame, lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(a, b, distance) of all pairs of distinct ``lines`` of ``docs`` within ``threshold`` edits, stored."""
+def line_links(docs: DataFrame, lines: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
+    """(a, b, distance) of all pairs of distinct ``lines`` of ``docs`` within the edits of the shorter one, stored."""
     pairs = stored(candidates(lines, threshold), "line-candidates")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-wanted")
     texts = stored(texts_of(docs, wanted), "line-texts")
     left = texts.select(F.col("line_id").alias("a"), F.split("line", "").alias("left"))
     right = texts.select(F.col("line_id").alias("b"), F.split("line", "").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    measured = both.where(F.abs(F.size("left") - F.size("right")) <= threshold).select(
-        "a", "b", banded_distance(F.col("left"), F.col("right"), threshold).alias("distance")
+    most = most_edits(threshold)
+    allowed = by_class(F.least(F.size("left"), F.size("right")), threshold, F.lit)
+    measured = both.where(F.abs(F.size("left") - F.size("right")) <= most).select(
+        "a", "b", allowed.alias("allowed"), banded_distance(F.col("left"), F.col("right"), most).alias("distance")
     )
-    return stored(measured.where(F.col("distance") <= threshold), "line-links")
+    return stored(measured.where("distance <= allowed").drop("allowed"), "line-links")
 
 
-def near_duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def near_duplicate_lines(docs: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
     """(line_id, first_doc_id, copies, n_links, class_id, class_doc_id, class_copies) of every distinct line of ``docs`` (doc_id, text).
 
     Lines are what stands between line feeds, without the white space around it;
     lines without a word are left out. Two lines are linked when at most
-    ``threshold`` insertions, deletions or replacements of characters turn one into
-    the other. Each line is cut into ``threshold`` + 1 segments; of two such lines
+    as many insertions, deletions or replacements of characters turn one into the
+    other as ``threshold`` allows, for all lines or by the length of the shorter one.
+    Each line is cut into one segment more than that; of two such lines
     one has a segment of the other unchanged, near its place, so every linked
     pair meets under a segment's key, and each pair that meets is measured.
     ``copies`` counts occurrences, ``n_links`` other distinct lines; ``class_id`` is the
