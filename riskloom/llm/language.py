@@ -110,7 +110,8 @@ class TextModel:
             else:
                 total[:-1] += self.table[buckets].sum(axis=0)
             seen += len(buckets)
-        total[-1] = -seen * math.log(BUCKETS) if seen else NO_TEXT
+        # letters without a trigram of them, such as a lone initial, speak for no class
+        total[-1] = -seen * math.log(BUCKETS) if seen else 0.0 if any(map(str.isalpha, text)) else NO_TEXT
         return total * TEMPER
 
 

@@ -61,3 +61,11 @@ def test_texts_beyond_the_model_stay(spark, declared):
     # the model knows English only
     kept = {row.doc_id for row in language.keep_identified(docs, docs.where("doc_id < 100")).collect()}
     assert kept == {*range(40), 100, 101, 102, 103}
+
+
+def test_letters_without_a_trigram_go_by_other_evidence(spark):
+    english = "when spring came the old fisherman walked to the bank of the river and looked at the water "
+    rows = [(k, english, "en", "s1") for k in range(40)] + [(100, "A.", "en", "s1"), (101, "7.", "en", "s1")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r.language for r in language.document_languages(docs, docs).collect()}
+    assert found[100] == "en" and found[101] == language.UNKNOWN
