@@ -139,9 +139,9 @@ def directory(entries: DataFrame, capacity: int) -> tuple[DataFrame, int]:
 
 
 def resolve(entries: DataFrame, capacity: int | None = None) -> DataFrame:
-    """(address, keep_id, group_size, winner): the group of every entry, by owner tasks of bucket ranges.
+    """(address, keep_id, group_size, winner): the group of every entry, by owner tasks of whole buckets.
 
-    An owner task gets whole buckets, in the order of their key ranges, sorted by
+    An owner task gets whole buckets, dealt by a hash of their number, sorted by
     hash. It walks each chain of equal hashes and compares bytes, so that texts
     are equal by their bytes and never by their hash alone.
     """
