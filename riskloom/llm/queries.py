@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, chat, exact, language, lines, mixing, quality, runs, sharding, simhash, simple8b
+from riskloom.llm import bpe, chat, exact, language, lines, mixing, quality, repair, runs, sharding, simhash, simple8b
 
 TOKENIZER = "byte_bpe_50k.json"
 #: A conversation whose texts hold the template's own marks.
@@ -61,6 +61,11 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repaired(repair.damaged(rows), rows)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(table(spark, sf_dir, "documents"), runs.with_planted_period, collapse=False).drop("collapsed")
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_page_languages,
         op10_bpe_round_trip,
+        op11_conversation_repair,
         op13_periodic_runs,
     )
 }
