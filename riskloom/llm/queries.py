@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, chat, exact, language, lines, mixing, quality, repair, runs, sharding, simhash, simple8b
+from riskloom.llm import bpe, chat, exact, language, lines, mixing, quality, repair, runs, sharding, simhash, simple8b, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 #: A conversation whose texts hold the template's own marks.
@@ -66,6 +66,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(repair.damaged(rows), rows)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(table(spark, sf_dir, "documents"), runs.with_planted_period, collapse=False).drop("collapsed")
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_page_languages,
         op10_bpe_round_trip,
         op11_conversation_repair,
+        op12_toxicity,
         op13_periodic_runs,
     )
 }
