@@ -14,7 +14,7 @@ from riskloom.plans.ingest import TableSpec, audit, run_ingest
 from riskloom.queries.rates import CATEGORY_SQL
 from riskloom.queries.registry import TXN, query
 from riskloom.session import scratch_path
-from riskloom.sources import reports, schema, sinks, tables
+from riskloom.sources import records, reports, schema, sinks, tables
 
 ALL_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -208,6 +208,52 @@ def document_csv_round_trip(spark, sf_dir):
     return tables.read_table_csv(spark, path, documents.schema)
 
 
+@query("split_csv_round_trip",
+       "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def split_csv_round_trip(spark, sf_dir):
+    """Whole texts through one CSV file with line breaks in its cells, read back by byte ranges."""
+    path = scratch_path(spark, "split_csv")
+    documents = v.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    sinks.export_table_csv(documents, path)
+    return records.read_split_csv(spark, path, {field.name: field.dataType for field in documents.schema})
+
+
+def _varied_orders(spark, sf_dir):
+    """Orders as CSV files of three kinds: another order of columns, one column less, one more whose dates are text."""
+    path = scratch_path(spark, "varied_csv")
+    orders = v.table(spark, sf_dir, "orders")
+    kind = F.col("o_orderkey") % 3
+    status = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).otherwise("1")
+    sinks.export_table_csv(orders.where(kind == 0).select("o_orderkey", "o_custkey", F.lit(7).alias("o_orderstatus")), f"{path}/a")
+    sinks.export_table_csv(orders.where(kind == 1).select("o_totalprice", "o_orderkey"), f"{path}/b")
+    sinks.export_table_csv(orders.where(kind == 2).select(status.alias("o_orderstatus"), "o_orderpriority", "o_orderkey"), f"{path}/c")
+    return [f"{path}/{part}" for part in "abc"]
+
+
+@query("varied_files",
+       "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS o_custkey, "
+       "CASE o_orderkey % 3 WHEN 0 THEN '7' WHEN 2 THEN CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE '1' END END AS o_orderstatus, "
+       "CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS o_totalprice, "
+       "CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority FROM orders")
+def varied_files(spark, sf_dir):
+    """Files with reordered, missing and added columns as one table, with the types that all files allow."""
+    paths = _varied_orders(spark, sf_dir)
+    texts = records.read_split_csv(spark, paths, file="from_file")
+    types = schema.declared_types(records.merged_types(records.file_types(texts, "from_file")))
+    return schema.cast_to_schema(texts.drop("from_file"), types)
+
+
+@query("file_type_clashes",
+       "SELECT 'o_orderstatus' AS column_name, 'a' AS folder, 'BIGINT' AS file_type, 'TEXT' AS merged_type "
+       "WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 3 = 0) AND EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 6 = 2)")
+def file_type_clashes(spark, sf_dir):
+    """A column that is a number in some files and text in others, with the folder of the files of numbers."""
+    texts = records.read_split_csv(spark, _varied_orders(spark, sf_dir), file="from_file")
+    clashes = records.type_clashes(records.file_types(texts, "from_file"))
+    folder = F.regexp_extract("file", "/([^/]+)/[^/]+$", 1)
+    return clashes.select("column_name", folder.alias("folder"), "file_type", "merged_type").distinct()
+
+
 @query("ingest_rejects",
        "WITH lines AS (SELECT o_orderkey, o_orderkey % 50 AS r FROM orders), found AS ("
        "SELECT 'null key' AS problem, count(*) FILTER (o_orderkey IS NULL) AS n_rows, true AS always FROM lines "
