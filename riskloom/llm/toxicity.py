@@ -16,17 +16,25 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import stored, text_of
 
 WORD = re.compile(r"\w+")
-#: Patterns of abuse that hold for any corpus, each a voter of its own.
-PATTERNS = {
-    "insult": r"\b(?:idiot|moron|imbecil\w*|stupid\w*|dumb|loser|scum|trash|worthless|pathetic|disgusting)s?\b",
-    "profanity": r"\b(?:fuck\w*|shit\w*|bitch\w*|bastard\w*|asshole\w*|cunt\w*)\b",
-    "insult_de": r"\b(?:arschloch|schlampe|trottel|scheiß\w*|wichser|dummkopf|hurensohn|missgeburt)\w*",
-    "insult_fr": r"\b(?:connard\w*|salop\w*|merde|putain|crétin\w*|abruti\w*|enculé\w*)\b",
-    "insult_es": r"\b(?:idiota|estúpid[oa]|imbécil|mierda|cabrón|puta|gilipollas|pendej[oa])s?\b",
-    "address": r"\b(?:you(?: are|'re)?|du bist|tu es|eres)\s+(?:an?\s+|ein\w*\s+|une?\s+|un[ao]?\s+)?(?:\w+\s+)?(?:idiot\w*|moron|loser|trottel|clown|scum|trash)",
-    "threat": r"\b(?:kill|hurt|beat|hunt)\s+(?:you|him|her|them)\b|\bhope you die\b",
-    "masked": r"\b(?:[fs]\*{2,}\w*|[a-z]+[*@#$]{2,}[a-z]+)\b",
+#: Patterns of abuse that hold for any corpus, each a voter of its own. These are of single words.
+WORD_PATTERNS = {
+    "insult": r"(?:idiot|moron|imbecil\w*|stupid\w*|dumb|loser|scum|trash|worthless|pathetic|disgusting)s?",
+    "profanity": r"fuck\w*|shit\w*|bitch\w*|bastard\w*|asshole\w*|cunt\w*",
+    "insult_de": r"(?:arschloch|schlampe|trottel|scheiß|wichser|dummkopf|hurensohn|missgeburt)\w*",
+    "insult_fr": r"connard\w*|salop\w*|merde|putain|crétin\w*|abruti\w*|enculé\w*",
+    "insult_es": r"(?:idiota|estúpid[oa]|imbécil|mierda|cabrón|puta|gilipollas|pendej[oa])s?",
 }
+#: Patterns of the lower-case text, each with one of which a text that matches has at least one.
+TEXT_PATTERNS = {
+    "address": (
+        r"\b(?:you(?: are|'re)?|du bist|tu es|eres)\s+(?:an?\s+|ein\w*\s+|une?\s+|un[ao]?\s+)?(?:\w+\s+)?(?:idiot\w*|moron|loser|trottel|clown|scum|trash)",
+        ("idiot", "moron", "loser", "trottel", "clown", "scum", "trash"),
+    ),
+    "threat": (r"\b(?:kill|hurt|beat|hunt)\s+(?:you|him|her|them)\b|\bhope you die\b", ("kill", "hurt", "beat", "hunt", "die")),
+    "masked": (r"\b(?:[fs]\*{2,}\w*|[a-z]+[*@#$]{2,}[a-z]+)\b", ("*", "@", "#", "$")),
+}
+
+
 #: Correlations of votes within a class that are below this are taken for chance.
 LEAST_CORRELATION = 0.3
 #: Deviations of the bound on what a feature says.
@@ -63,10 +71,11 @@ def word_features(word: str) -> list[str]:
 
 
 class FeatureCache:
-    """Numbers of the wanted features of a text; what a word gives is remembered."""
+    """Numbers of the wanted features of a text, then of the patterns of its words; what a word gives is remembered."""
 
-    def __init__(self, wanted: list[str], most: int = 500_000):
+    def __init__(self, wanted: list[str], patterns: Iterable[str] = (), most: int = 500_000):
         self.numbers = {feature: k for k, feature in enumerate(wanted)}
+        self.patterns = list(enumerate(map(re.compile, patterns), len(wanted)))
         self.known: dict[str, tuple[int, ...]] = {}
         self.most = most
 
@@ -77,6 +86,7 @@ class FeatureCache:
             numbers = known.get(word)
             if numbers is None:
                 numbers = tuple(self.numbers[f] for f in word_features(word) if f in self.numbers)
+                numbers += tuple(k for k, pattern in self.patterns if pattern.fullmatch(word))
                 if len(known) >= self.most:
                     known.clear()
                 if len(word) <= 64:
@@ -175,18 +185,19 @@ class Voters:
     clean: list[str]
 
     def __len__(self) -> int:
-        return len(self.toxic) + len(self.clean) + len(PATTERNS) + 1
+        return len(self.toxic) + len(self.clean) + len(WORD_PATTERNS) + len(TEXT_PATTERNS) + 1
 
     def votes(self, texts: Iterable[str]) -> Iterator[bytes]:
-        cache = FeatureCache(self.toxic + self.clean)
-        patterns = [re.compile(pattern, re.IGNORECASE) for pattern in PATTERNS.values()]
-        first_pattern = len(self.toxic) + len(self.clean)
+        cache = FeatureCache(self.toxic + self.clean, WORD_PATTERNS.values())
+        speaks = bytes([1] * len(self.toxic) + [2] * len(self.clean) + [1] * len(WORD_PATTERNS))
+        patterns = [(re.compile(pattern), parts) for pattern, parts in TEXT_PATTERNS.values()]
         for text in texts:
             row = bytearray(len(self))
             for k in cache.numbers_of(text):
-                row[k] = 1 if k < len(self.toxic) else 2
-            for k, pattern in enumerate(patterns, first_pattern):
-                row[k] = bool(pattern.search(text))
+                row[k] = speaks[k]
+            lower = text.lower()
+            for k, (pattern, parts) in enumerate(patterns, len(speaks)):
+                row[k] = any(part in lower for part in parts) and bool(pattern.search(lower))
             if 1 not in row:
                 row[-1] = 2
             yield bytes(row)
