@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom import views as v
+from riskloom.operators import hitters as h
 from riskloom.operators import profile as p
 from riskloom.operators import selection as s
+from riskloom.operators import summaries
 from riskloom.operators.encode import impute_exact, string_index, varying_dimensions
 from riskloom.operators.ranges import exact_medians
 from riskloom.operators.report import decision_tile, rank_importances
 from riskloom.queries.registry import IDENTITY, TXN, query
+from riskloom.session import scratch_path
 
 # Columns of the profiled frame: name -> (source type, Spark type).
 WIDE_COLUMNS = {
@@ -159,6 +162,49 @@ def top_categories(spark, sf_dir):
     return p.top_categories(wide(spark, sf_dir), STRINGS)
 
 
+@query("heavy_categories",
+       f"{WIDE_SQL}, counts AS ({counts_sql('wide', STRINGS)}), ranked AS (SELECT *, row_number() OVER "
+       "(PARTITION BY feature_name ORDER BY n_rows DESC, value) AS position FROM counts WHERE value IS NOT NULL) "
+       "SELECT feature_name, value, n_rows, CAST(position AS INT) AS position FROM ranked WHERE position <= 10")
+def heavy_categories(spark, sf_dir):
+    """The top categories by bounded summaries and an exact recount."""
+    return h.heavy_categories(wide(spark, sf_dir), STRINGS)
+
+
+@query("heavy_document_categories",
+       f"WITH counts AS ({counts_sql('documents', ['lang', 'source', 'text'])}), ranked AS (SELECT *, row_number() OVER "
+       "(PARTITION BY feature_name ORDER BY n_rows DESC, value) AS position FROM counts WHERE value IS NOT NULL) "
+       "SELECT feature_name, value, n_rows, CAST(position AS INT) AS position FROM ranked WHERE position <= 10")
+def heavy_document_categories(spark, sf_dir):
+    """Few languages and sources, many texts: only the texts are counted whole."""
+    return h.heavy_categories(v.table(spark, sf_dir, "documents"), ["lang", "source", "text"])
+
+
+PROFILED = {"lang": "string", "source": "string", "text": "string", "n_chars": "bigint"}
+
+
+@query("merged_profiles",
+       " UNION ALL ".join(
+           f"SELECT '{name}' AS feature_name, '{kind}' AS spark_type, count(*) AS n_rows, count(*) - count({name}) AS n_null, "
+           f"CAST(count(*) - count({name}) AS DOUBLE) / count(*) AS null_ratio, true AS distinct_within, true AS dominant_within FROM documents"
+           for name, kind in PROFILED.items()))
+def merged_profiles(spark, sf_dir):
+    """Two batches summarised on their own, one of them twice; counts are exact, estimates within their bounds of the exact profile."""
+    documents = v.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "summaries")
+    for batch in (0, 1, 0):
+        summaries.store_summary(documents.where(F.pmod("doc_id", F.lit(2)) == batch), list(PROFILED), path, f"part{batch}")
+    exact = p.exact_column_stats(documents, list(PROFILED)).select(
+        "feature_name", F.col("distinct_non_null").alias("distinct"), F.col("dominant_ratio").alias("dominant")
+    )
+    found = summaries.stored_profile(spark, path).join(exact, "feature_name")
+    # four deviations of the sketch; the summary's error, and twice it where a value may not be among its own
+    near = F.abs(F.col("distinct_non_null") - F.col("distinct")) <= F.greatest(F.lit(1.0), 0.04 * F.col("distinct"))
+    bound = 2 * h.summary_error(h.TRACKED)
+    within = (F.col("dominant_ratio") <= F.col("dominant") + bound) & (F.col("dominant_ratio") >= F.col("dominant") - bound)
+    return found.select("feature_name", "spark_type", "n_rows", "n_null", "null_ratio", near.alias("distinct_within"), within.alias("dominant_within"))
+
+
 @query("category_coverage",
        f"{WIDE_SQL}, counts AS ({counts_sql('wide', STRINGS)}), ranked AS (SELECT *, row_number() OVER "
        "(PARTITION BY feature_name ORDER BY n_rows DESC, value) AS position FROM counts WHERE value IS NOT NULL) "
