@@ -11,6 +11,8 @@ from riskloom.operators import report as r
 from riskloom.operators.models import prediction_export as export
 from riskloom.operators.quality import expected_names
 from riskloom.queries.registry import TXN, query
+from riskloom.session import scratch_path
+from riskloom.sources import versions
 
 METRICS = f"""WITH {TXN}, metrics AS (
   SELECT productcd AS model_name, CAST(sum(is_fraud) AS DOUBLE) / count(*) AS test_auc_pr,
@@ -137,6 +139,35 @@ def latest_event_per_user(spark, sf_dir):
     return g.upsert(earlier, later, "user_id", "event_id")
 
 
+@query("merged_touched_parts",
+       "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1")
+def merged_touched_parts(spark, sf_dir):
+    """The same upsert in a table of 16 parts; the last events of a few users rewrite only the parts of their keys."""
+    events = v.table(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    table = versions.VersionedTable(spark, scratch_path(spark, "latest_events"))
+    few = F.col("user_id") % 50 == 0
+    middle = events.agg(F.avg("event_id")).scalar()
+    versions.upsert_parts(table, events.where(~few | (F.col("event_id") <= middle)), "user_id", 16, "event_id")
+    versions.upsert_parts(table, events.where(few & (F.col("event_id") > middle)), "user_id", 16, "event_id")
+    return table.read()
+
+
+@query("pinned_version",
+       "SELECT 1 AS version, n_nationkey, n_name FROM nation UNION ALL "
+       "SELECT 3, n_nationkey, CASE WHEN n_regionkey = 2 THEN lower(n_name) ELSE n_name END FROM nation WHERE n_regionkey <> 1")
+def pinned_version(spark, sf_dir):
+    """A reader of the first version sees its rows after two more publications: one region changed, one emptied."""
+    nations = v.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    table = versions.VersionedTable(spark, scratch_path(spark, "nations"))
+    region = F.col("n_regionkey").cast("string").alias(versions.PART)
+    parts = [str(row[0]) for row in nations.select("n_regionkey").distinct().collect()]
+    first = table.publish(nations.select("*", region), parts)
+    table.publish(nations.where("n_regionkey = 2").select("n_nationkey", F.lower("n_name").alias("n_name"), "n_regionkey", region), ["2"])
+    latest = table.publish(nations.limit(0).select("*", region), ["1"])
+    read = [table.read(number).select(F.lit(number).alias("version"), "n_nationkey", "n_name") for number in (first, latest)]
+    return read[0].unionByName(read[1])
+
+
 @query("prefer_new",
        "SELECT 'replaced' AS outcome, CAST(toxic AS VARCHAR) AS name, count(*) AS n_rows FROM labels GROUP BY toxic "
        "UNION ALL SELECT 'kept', lang, count(*) FROM documents GROUP BY lang")

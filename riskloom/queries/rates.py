@@ -18,6 +18,8 @@ from riskloom.operators import report as r
 from riskloom.operators.rates import grouped_rate
 from riskloom.plans import exploration as x
 from riskloom.queries.registry import SALES, TXN, band_sql, percent_sql, query, rate_sql
+from riskloom.session import scratch_path
+from riskloom.sources import versions
 
 CENTS = v.MONEY_SCALE
 DAY = "transactiondt // 86400"
@@ -43,6 +45,17 @@ def rate_by_category(spark, sf_dir):
     return x.rate_by_category(v.transactions(spark, sf_dir), CENTS)
 
 
+@query("incremental_rates", CATEGORY_SQL)
+def incremental_rates(spark, sf_dir):
+    """Three batches summed on their own as they come; the second first comes cut short, then whole again."""
+    txn = v.transactions(spark, sf_dir)
+    table = versions.VersionedTable(spark, scratch_path(spark, "rate_partials"))
+    for batch, part in ((0, "true"), (1, "k < 50"), (2, "true"), (1, "true")):
+        rows = txn.where(F.pmod("transactionid", F.lit(3)) == batch).where(part)
+        versions.publish_partials(table, rows, f"b{batch}", ["productcd"], F.col("is_fraud"), F.col("transactionamt"), CENTS)
+    return x.rate_by_category(versions.merged_partials(table, ["productcd"]), CENTS, partials=True)
+
+
 @query("rate_by_amount_band", BAND_SQL)
 def rate_by_amount_band(spark, sf_dir):
     return x.rate_by_amount_band(v.transactions(spark, sf_dir), CENTS)
