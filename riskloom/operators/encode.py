@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
@@ -12,17 +13,76 @@ from pyspark.ml.feature import (
     VarianceThresholdSelector,
     VectorAssembler,
 )
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.operators.longform import POSITION, long_cells, named, names_table
+from riskloom.operators.longform import POSITION, long_cells, named, names_table, quoted
 from riskloom.operators.profile import value_counts
 from riskloom.operators.ranges import exact_medians
 
 IMPUTE_BATCH = 32
 
 
+class _Columns(HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """What the exact imputer and its model share."""
+
+    def _pairs(self) -> list[tuple[str, str]]:
+        names, outputs = self.getInputCols(), self.getOutputCols()
+        if len(names) != len(outputs):
+            raise ValueError("as many outputs as inputs are needed")
+        return list(zip(names, outputs))
+
+
+class ExactMedianImputer(Estimator, _Columns):
+    """Pipeline stage that learns the exact median of every input column, all columns together.
+
+    The medians are those of :func:`exact_medians`: a few counting passes for any
+    number of columns, and the same for any layout of the rows. A column without
+    values is an error that names it.
+    """
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> ExactMedianModel:
+        names = [name for name, _ in self._pairs()]
+        found = {row["feature_name"]: row["median"] for row in exact_medians(dataset, names).collect()}
+        absent = [name for name in names if name not in found]
+        if absent:
+            raise ValueError(f"columns without values cannot be imputed: {absent}")
+        model = ExactMedianModel(inputCols=names, outputCols=self.getOutputCols(), medians=[float(found[name]) for name in names])
+        return model._resetUid(self.uid)
+
+
+class ExactMedianModel(Model, _Columns):
+    """The value of every input column as a double, or its stored median for NULL and NaN."""
+
+    medians = Param(Params._dummy(), "medians", "median of each input column", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None, medians=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def getMedians(self) -> list[float]:
+        return self.getOrDefault(self.medians)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        nothing = F.lit(None).cast("double")
+        return dataset.withColumns(
+            {
+                output: F.coalesce(F.nanvl(F.col(quoted(name)).cast("double"), nothing), F.lit(median))
+                for (name, output), median in zip(self._pairs(), self.getMedians())
+            }
+        )
+
+
 def impute_exact(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Add ``<name>_imputed``: the value, or the exact median for NULL and NaN.
 
@@ -93,8 +153,9 @@ def build_pipeline(
 ) -> tuple[Pipeline, list[str]]:
     """Impute, index, one-hot, assemble, drop constant dimensions; also the assembler's inputs.
 
-    Imputers take ``batch`` columns each, which bounds the size of one fit. A
-    numeric column without any value must be dropped before.
+    Medians are exact and learnt for all columns together; imputers by the mean
+    take ``batch`` columns each, which bounds the size of one fit. A numeric
+    column without any value must be dropped before.
     """
     if strategy not in ("median", "mean"):
         raise ValueError(f"unsupported impute strategy: {strategy}")
@@ -103,11 +164,13 @@ def build_pipeline(
     if not numeric and not strings:
         raise ValueError("no features left to encode")
     stages, inputs = [], []
-    for start in range(0, len(numeric), batch):
-        names = list(numeric[start : start + batch])
-        outputs = [f"{name}_imputed" for name in names]
-        stages.append(Imputer(strategy=strategy, inputCols=names, outputCols=outputs))
-        inputs += outputs
+    inputs += [f"{name}_imputed" for name in numeric]
+    if numeric and strategy == "median":
+        stages.append(ExactMedianImputer(inputCols=list(numeric), outputCols=list(inputs)))
+    elif numeric:
+        for start in range(0, len(numeric), batch):
+            names, outputs = list(numeric[start : start + batch]), inputs[start : start + batch]
+            stages.append(Imputer(strategy=strategy, inputCols=names, outputCols=outputs))
     if strings:
         indexed = [f"{name}_idx" for name in strings]
         encoded = [f"{name}_ohe" for name in strings]

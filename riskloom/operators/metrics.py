@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranges import running_totals
+from riskloom.operators.ranges import grouped_running_totals, running_totals
 
 
 def score_points(
@@ -28,18 +30,37 @@ def ranking_metrics(
     The ROC area is a ratio of whole numbers. The precision-recall curve starts
     at recall 0 with the precision of the highest score. A missing class gives NULL.
     """
-    points = score_points(df, score, label, buckets)
+    return _areas(score_points(df, score, label, buckets), ())
+
+
+def grouped_ranking_metrics(
+    df: DataFrame, by: Sequence[str], score: str = "score", label: str = "label", buckets: int | None = None
+) -> DataFrame:
+    """:func:`ranking_metrics` of every group of the columns ``by``, such as model and fold, in one go.
+
+    All groups share one stored histogram, so the areas of any number of fits are
+    one chain of jobs. A group whose rows have no score or no label has no row.
+    """
+    counted = df.where(F.col(label).isNotNull()).select(
+        *by, score, (F.col(label) == 1).cast("bigint").alias("tp"), (F.col(label) != 1).cast("bigint").alias("fp")
+    )
+    return _areas(grouped_running_totals(counted, by, score, ["tp", "fp"], descending=True, buckets=buckets), by)
+
+
+def _areas(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The columns of :func:`ranking_metrics` per group of :func:`score_points`; one row where there are no groups."""
     tp, fp, cum_tp, cum_fp = (F.col(name) for name in ("tp", "fp", "cum_tp", "cum_fp"))
     seen, before = cum_tp + cum_fp, cum_tp + cum_fp - tp - fp
     precision = cum_tp / seen
     previous = F.when(before > 0, (cum_tp - tp) / before).otherwise(precision)
     wide = "decimal(19,0)"
-    return points.agg(
+    return points.groupBy(*by).agg(
         F.sum(tp).alias("n_positive"),
         F.sum(fp).alias("n_negative"),
         F.sum(fp.cast(wide) * (cum_tp * 2 - tp).cast(wide)).alias("roc_area"),
         F.sum((tp * (precision + previous) / 2).cast("decimal(38,18)")).alias("pr_area"),
     ).select(
+        *by,
         "n_positive",
         "n_negative",
         (

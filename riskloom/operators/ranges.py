@@ -9,7 +9,9 @@ recomputed task puts its rows where they were.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -115,6 +117,45 @@ def running_totals(
     )
 
 
+def grouped_running_totals(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    sums: Sequence[str],
+    descending: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """:func:`running_totals` within every group of the columns ``by``, for any number of groups at the price of one.
+
+    One stored histogram and one set of edges, from the distinct values of all
+    groups together, serve all: a range holds the values of one group between two
+    edges, so a group with a third of the rows is many ranges and a thousand small
+    ones are a range or a few each. A NULL in ``by`` is a group of its own.
+    """
+    present = df.where(F.col(value).isNotNull())
+    hist = checkpointed(present.groupBy(*by, value).agg(*[F.sum(name).alias(name) for name in sums]))
+    edges = range_edges(hist, value, buckets=buckets).get(None, ())
+    direction = F.desc if descending else F.asc
+    placed = (
+        Bucketizer(splits=_splits(edges), inputCol="number", outputCol="range", handleInvalid="keep")
+        .transform(hist.withColumn("number", _number(F.col(value))))
+        .select(*by, value, *sums, F.coalesce(F.col("range").cast("int"), F.lit(0)).alias("bucket"))
+    )
+    before = W.partitionBy(*by).orderBy(direction("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    totals = placed.groupBy(*by, "bucket").agg(*[F.sum(name).alias(f"total_{name}") for name in sums])
+    starts = totals.select(
+        *[F.col(name).alias(f"_{name}") for name in by],
+        F.col("bucket").alias("_bucket"),
+        *[F.coalesce(F.sum(f"total_{name}").over(before), F.lit(0)).alias(f"start_{name}") for name in sums],
+    )
+    inside = W.partitionBy(*by, "bucket").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, 0)
+    local = placed.select("*", *[F.sum(name).over(inside).alias(f"local_{name}") for name in sums])
+    same = functools.reduce(operator.and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in (*by, "bucket")])
+    return local.join(starts, same).select(
+        *by, value, *sums, *[(F.col(f"start_{name}") + F.col(f"local_{name}")).alias(f"cum_{name}") for name in sums]
+    )
+
+
 def _median_bounds(
     numbers: DataFrame, columns: int, marks: int, rows: int
 ) -> dict[int, tuple[float, float, int, int]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from riskloom import views as v
@@ -9,7 +10,7 @@ from riskloom.operators import hitters as h
 from riskloom.operators import profile as p
 from riskloom.operators import selection as s
 from riskloom.operators import summaries
-from riskloom.operators.encode import impute_exact, string_index, varying_dimensions
+from riskloom.operators.encode import ExactMedianImputer, impute_exact, string_index, varying_dimensions
 from riskloom.operators.ranges import exact_medians
 from riskloom.operators.report import decision_tile, rank_importances
 from riskloom.queries.registry import IDENTITY, TXN, query
@@ -368,6 +369,21 @@ def median_impute(spark, sf_dir):
     return filled.select("transactionid", "transactionamt_imputed")
 
 
+@query("median_stage",
+       f"WITH {TXN}, m AS (SELECT quantile_disc(transactionamt, 0.5) AS amount, quantile_disc(k, 0.5) AS key, "
+       "quantile_disc(CASE WHEN is_fraud = 1 THEN transactiondt END, 0.5) AS time FROM txn) "
+       "SELECT transactionid, coalesce(transactionamt, amount) AS transactionamt_imputed, CAST(coalesce(k, key) AS DOUBLE) AS k_imputed, "
+       "CAST(CASE WHEN is_fraud = 1 THEN transactiondt ELSE time END AS DOUBLE) AS flagged_imputed FROM txn, m")
+def median_stage(spark, sf_dir):
+    """The stage that training uses, learnt for three columns together, saved, loaded and applied."""
+    txn = v.transactions(spark, sf_dir).withColumn("flagged", F.when(F.col("is_fraud") == 1, F.col("transactiondt")))
+    names = ["transactionamt", "k", "flagged"]
+    stage = ExactMedianImputer(inputCols=names, outputCols=[f"{name}_imputed" for name in names])
+    path = scratch_path(spark, "median_stage")
+    Pipeline(stages=[stage]).fit(txn).save(path)
+    return PipelineModel.load(path).transform(txn).select("transactionid", *[f"{name}_imputed" for name in names])
+
+
 PREPARED_STRINGS = ["productcd", "r_emaildomain", "device"]
 PREPARED_SQL = f"""{WIDE_SQL}, top_device AS (SELECT device FROM wide GROUP BY device ORDER BY count(*) DESC, device LIMIT 10),
 prepared AS (SELECT transactionid, productcd, coalesce(r_emaildomain, '__MISSING__') AS r_emaildomain,

@@ -26,9 +26,9 @@ AUC_SQL = f"""{POINTS}, steps AS (
   {sql_six("sum(tp * (p + coalesce(q, p)) / 2) / sum(tp)")} AS auc_pr FROM steps"""
 
 
-def _auc(frame):
+def _auc(frame, *groups):
     return frame.select(
-        "n_positive", "n_negative", six(F.col("auc_roc")).alias("auc_roc"), six(F.col("auc_pr")).alias("auc_pr")
+        *groups, "n_positive", "n_negative", six(F.col("auc_roc")).alias("auc_roc"), six(F.col("auc_pr")).alias("auc_pr")
     )
 
 
@@ -43,6 +43,30 @@ def auc_exact_ranged(spark, sf_dir):
     return _auc(m.ranking_metrics(v.scores(spark, sf_dir), buckets=16))
 
 
+@query("auc_by_group", f"""WITH {TXN}, scored AS (
+  SELECT 'amount' AS model, k % 3 AS fold, transactionamt AS score, is_fraud AS label FROM txn
+  UNION ALL SELECT 'time', k % 3, transactiondt % 86400, is_fraud FROM txn
+  UNION ALL SELECT 'key', k % 3, k, is_fraud FROM txn
+), hist AS (
+  SELECT model, fold, score, count(*) FILTER (label = 1) AS tp, count(*) FILTER (label <> 1) AS fp FROM scored WHERE score IS NOT NULL GROUP BY ALL
+), points AS (
+  SELECT *, sum(tp) OVER w AS cum_tp, sum(fp) OVER w AS cum_fp FROM hist
+  WINDOW w AS (PARTITION BY model, fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+), steps AS (
+  SELECT model, fold, tp, fp, cum_tp, cum_fp, CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp) AS p,
+         lag(CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp)) OVER (PARTITION BY model, fold ORDER BY score DESC) AS q FROM points
+) SELECT model, fold, CAST(sum(tp) AS BIGINT) AS n_positive, CAST(sum(fp) AS BIGINT) AS n_negative,
+  """ + sql_six("sum(CAST(fp AS DOUBLE) * (2 * cum_tp - tp)) / nullif(2.0 * sum(tp) * sum(fp), 0)") + " AS auc_roc, "
+       + sql_six("sum(tp * (p + coalesce(q, p)) / 2) / nullif(sum(tp), 0)") + " AS auc_pr FROM steps GROUP BY model, fold")
+def auc_by_group(spark, sf_dir):
+    """Areas of three score columns in three folds by one chain of jobs."""
+    txn = v.transactions(spark, sf_dir)
+    columns = {"amount": "transactionamt", "time": "CAST(transactiondt % 86400 AS DOUBLE)", "key": "CAST(k AS DOUBLE)"}
+    scores = ", ".join(f"'{model}', {score}" for model, score in columns.items())
+    scored = txn.select((F.col("k") % 3).alias("fold"), F.expr(f"stack(3, {scores}) AS (model, score)"), F.col("is_fraud").alias("label"))
+    return _auc(m.grouped_ranking_metrics(scored, ["model", "fold"], buckets=8), "model", "fold")
+
+
 @query("score_points", f"{POINTS} SELECT * FROM points")
 def score_points(spark, sf_dir):
     return m.score_points(v.scores(spark, sf_dir), buckets=200)

@@ -5,6 +5,7 @@ import json
 import random
 
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer
 from pyspark.ml.linalg import Vectors
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import cvlog as c
 from riskloom.operators import encode as e
+from riskloom.operators import metrics
 from riskloom.operators import models as m
 from riskloom.operators.quality import check_predictions, expected_names
 from riskloom.operators.selection import source_importances
@@ -329,3 +331,39 @@ def test_training_does_not_depend_on_source_partitions(frame):
     for e_ in encoded:
         for part in (e_.train, e_.test, e_.profile):
             part.unpersist()
+
+
+def test_exact_median_stage_is_saved_with_its_medians(spark, folder):
+    rows = [(float(k % 17) if k % 5 else None, float("nan") if k % 3 else k / 7, k) for k in range(400)]
+    df = spark.createDataFrame(rows, "x double, `y-z` double, n long")
+    stage = e.ExactMedianImputer(inputCols=["x", "y-z", "n"], outputCols=["x_imputed", "y_imputed", "n_imputed"])
+    model = Pipeline(stages=[stage]).fit(df.repartition(3))
+    medians = {row["feature_name"]: row["median"] for row in e.exact_medians(df, ["x", "y-z", "n"]).collect()}
+    assert model.stages[0].getMedians() == [medians[name] for name in ("x", "y-z", "n")]
+    model.write().overwrite().save(f"{folder}/p")
+    loaded = PipelineModel.load(f"{folder}/p")
+    results = [fitted.transform(df).select("x_imputed", "y_imputed", "n_imputed").collect() for fitted in (loaded, model)]
+    assert sorted(results[0]) == sorted(results[1])
+    filled = loaded.transform(df).where("x is null").select("x_imputed").distinct().collect()
+    assert [row[0] for row in filled] == [medians["x"]]
+    with pytest.raises(ValueError, match="none"):
+        e.ExactMedianImputer(inputCols=["none"], outputCols=["o"]).fit(df.withColumn("none", F.lit(None).cast("double")))
+
+
+def test_training_pipeline_imputes_exactly(spark):
+    df = spark.createDataFrame([(float(k), "a") for k in range(5000)] + [(None, "b")], "x double, s string")
+    pipeline, _ = e.build_pipeline(["x"], ["s"])
+    assert pipeline.fit(df).transform(df).where("x is null").first()["x_imputed"] == 2499.0
+
+
+def test_grouped_areas_equal_those_of_each_group(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(3), None if rng.random() < 0.1 else rng.randrange(40) / 8, float(rng.random() < 0.3)) for _ in range(3000)]
+    rows += [("lone", 0, 1.0, 1.0), ("lone", 0, 2.0, 1.0), ("empty", 0, None, 1.0)]
+    df = spark.createDataFrame(rows, "model string, fold int, score double, label double")
+    for buckets in (None, 7):
+        found = {(r["model"], r["fold"]): tuple(r)[2:] for r in metrics.grouped_ranking_metrics(df, ["model", "fold"], buckets=buckets).collect()}
+        assert len(found) == 10 and ("empty", 0) not in found
+        for (model, fold), areas in found.items():
+            one = df.where(F.col("model").eqNullSafe(F.lit(model)) & (F.col("fold") == fold))
+            assert areas == pytest.approx(tuple(metrics.ranking_metrics(one).first()))
