@@ -9,6 +9,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm.chunks import Remembered
+from riskloom.llm.chunks import LONGEST_REMEMBERED, MOST_REMEMBERED, SLICE, pieces
 from riskloom.llm.common import chunk_rank, stored
 
 #: Fixed values of the file format: (ids, bits each) of every selector, the upper four bits of a word.
@@ -30,9 +32,11 @@ PAYLOAD = 60
 BLOCK_IDS = 1024
 SEGMENT_IDS = 65_536
 END_ID = 0
-#: A pre-token that is the same in any byte-level file, and how such files write its space.
-ONE_WORD = re.compile(" ?[A-Za-z]+")
-SPACE_SYMBOL = "\u0120"
+#: A word of Latin letters behind a space and the signs behind it, which byte-level files take apart.
+WORD_AND_SIGNS = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ɏ]+)([^\s\w'’]+)")
+PIECE_BEHIND_SPACE = re.compile(r"\s\S+")
+#: Pieces encoded as one string.
+JOINED = 2048
 COUNTS = np.array([count for count, _ in SELECTORS], np.int64)
 _WIDTHS = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
 
@@ -133,29 +137,78 @@ class LibraryEncoder:
         # only the plain byte-level file is known to cut where the pieces are cut
         byte_level = (description.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.by_piece = byte_level and not description.get("normalizer") and not description["pre_tokenizer"]["add_prefix_space"]
-        specials = tuple(token["content"] for token in description["added_tokens"])
-        self.memory = Remembered(self.pieces, specials)
-
-    def pieces(self, texts: list[str]) -> list[bytes]:
-        """Like :func:`library`; a piece that is one word of ASCII letters goes to the library's model at once."""
-        model, code, found = self.tokenizer.model, self.code, [b""] * len(texts)
-        others = []
-        for k, text in enumerate(texts):
-            if ONE_WORD.fullmatch(text):
-                word = SPACE_SYMBOL + text[1:] if text[0] == " " else text
-                found[k] = array.array(code, [token.id for token in model.tokenize(word)]).tobytes()
-            else:
-                others.append(k)
-        for k, ids in zip(others, self.library([texts[k] for k in others])):
-            found[k] = ids
-        return found
+        self.specials = tuple(token["content"] for token in description["added_tokens"])
+        self.known: dict[str, bytes] = {}
+        self.most = MOST_REMEMBERED
+        self.lengths = np.zeros(size, np.int64)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.lengths[number] = len(token)  # a symbol of such a file is a byte
+
+    def learn(self, pieces: set[str]) -> None:
+        """Look up new pieces, at which a text may be cut, and remember their ids.
+
+        A word and the signs behind it are pre-tokens of their own, so each is looked
+        up alone. Pieces that start with white space are encoded as one string, as
+        they would stand in a text; every token is as long as its bytes, which tells
+        whose it is.
+        """
+        known = self.known
+        halves = {piece: match.groups() for piece in pieces if (match := WORD_AND_SIGNS.fullmatch(piece))}
+        wanted = pieces.difference(halves).union(*halves.values()).difference(known)
+        joined = list(filter(PIECE_BEHIND_SPACE.fullmatch, wanted))
+        every = "".join(joined)
+        if any(special in every for special in self.specials):
+            joined = [piece for piece in joined if not any(special in piece for special in self.specials)]
+        alone = list(wanted.difference(joined))
+        known.update(zip(alone, self.library(alone)))
+        for start in range(0, len(joined), JOINED):
+            some = joined[start : start + JOINED]
+            known.update(zip(some, self.library_of_joined(some)))
+        known.update((piece, known[word] + known[signs]) for piece, (word, signs) in halves.items())
+
+    def by_pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of the texts; what is new in about SLICE characters of text is looked up together."""
+        done: list[bytes] = []
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and size <= SLICE:
+                size += len(texts[end])
+                end += 1
+            if len(self.known) > self.most:
+                self.known = {}
+            cut = [list(chain.from_iterable(pieces(text, self.specials))) for text in texts[start:end]]
+            found = [list(map(self.known.get, parts)) for parts in cut]
+            open_texts = [k for k, ids in enumerate(found) if None in ids]
+            new: set[str] = set()
+            for k in open_texts:
+                new.update(compress(cut[k], map(is_, found[k], repeat(None))))
+            if new:
+                self.learn(new)
+            for k in open_texts:
+                found[k] = map(self.known.__getitem__, cut[k])
+            done += map(b"".join, found)
+            for piece in [piece for piece in new if len(piece) > LONGEST_REMEMBERED]:
+                del self.known[piece]
+            start = end
+        return done
+
+    def library_of_joined(self, pieces: list[str]) -> list[bytes]:
+        ids = np.frombuffer(self.library(["".join(pieces)])[0], f"<u{self.width}")
+        ends = np.cumsum([len(piece.encode()) for piece in pieces])
+        upto = np.cumsum(self.lengths[ids])
+        cuts = np.searchsorted(upto, ends) + 1
+        if upto[-1] != ends[-1] or (upto[cuts - 1] != ends).any():
+            return self.library(pieces)  # a token over the edge of a piece
+        raw, at = ids.tobytes(), (cuts * self.width).tolist()
+        return [raw[low:high] for low, high in zip([0, *at], at)]
 
     def library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array(self.code, e.ids).tobytes() for e in encoded]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        raw = self.memory.texts(texts) if self.by_piece else self.library(texts)
+        raw = self.by_pieces(texts) if self.by_piece else self.library(texts)
         return [np.frombuffer(ids, f"<u{self.width}") for ids in raw]
 
 
