@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -12,6 +14,8 @@ from riskloom.operators import models as m
 from riskloom.operators.cvlog import best_logged
 from riskloom.operators.encode import build_pipeline, feature_names
 from riskloom.operators.longform import names_table
+from riskloom.operators.metrics import f1_accuracy
+from riskloom.operators.quality import check_predictions
 from riskloom.operators.sampling import fit_class_weights, split, split_part, with_folds
 from riskloom.operators.selection import prepare_features, profile_features, fit_feature_plan
 from riskloom.plans.modeling import modeling_frame
@@ -202,6 +206,46 @@ def forest_training_metrics(spark, sf_dir):
     return result.metrics
 
 
+@query("checked_predictions",
+       f"SELECT count(*) AS n_rows, true AS as_expected, 3 AS refused FROM embeddings "
+       f"WHERE {md5_bucket("'split|' || CAST(vec_id AS VARCHAR)")} >= 0.7::DOUBLE * 4294967296.0")
+def checked_predictions(spark, sf_dir):
+    """A forest's exported predictions pass the check; without a column, with one more or without rows they do not."""
+    model, held = _fitted(spark, sf_dir, "rf")
+    predictions = m.score(model, held).select("label", "prediction")
+    check_predictions(predictions)
+    refused = 0
+    for wrong in (predictions.select("label"), predictions.withColumn("more", F.lit(1)), predictions.where("false")):
+        try:
+            check_predictions(wrong)
+        except ValueError:
+            refused += 1
+    return predictions.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(True).alias("as_expected"), F.lit(refused).alias("refused"))
+
+
+@query("metric_bounds", "SELECT 'rf' AS model_name, true AS areas_within, true AS as_predicted")
+def metric_bounds(spark, sf_dir):
+    """The metric row of the full forest flow: areas within 0 and 1, F1 and accuracy those of its stored predictions."""
+    result = train_models(training_frame(spark, sf_dir), replace(FULL, models=("rf",)))
+    again = f1_accuracy(result.predictions["rf"].select("label", "prediction")).first()
+    within = [F.col(name).between(0.0, 1.0) for name in ("test_auc_pr", "test_auc_roc", "test_f1", "test_accuracy")]
+    same = [F.abs(F.col(name) - F.lit(value)) < 1e-9 for name, value in (("test_f1", again["f1"]), ("test_accuracy", again["accuracy"]))]
+    rows = result.metrics.select("model_name", functools.reduce(operator.and_, within).alias("areas_within"), (same[0] & same[1]).alias("as_predicted"))
+    result.release()
+    return rows
+
+
+@query("importance_sum", f"{DIMENSIONS} SELECT count(*) AS n_dimensions, true AS sums_to_one, true AS none_negative FROM dimensions")
+def importance_sum(spark, sf_dir):
+    """Importances of a forest over the whole frame: one per encoded dimension, none negative, one in all."""
+    vectors, names = _encoded(spark, sf_dir)
+    model = m.build_estimator("rf", FULL).fit(vectors.select("transactionid", "label", "class_weight", "features"))
+    value = F.col("importance")
+    return m.importance_rows(spark, names, model).agg(
+        F.count(F.lit(1)).alias("n_dimensions"), (F.abs(F.sum(value) - 1.0) < 1e-9).alias("sums_to_one"), F.bool_and(value >= 0).alias("none_negative")
+    )
+
+
 @query("hash_folds")
 def hash_folds(spark, sf_dir):
     """Folds by Spark's own hash, as cross-validation uses them."""

@@ -254,6 +254,28 @@ def file_type_clashes(spark, sf_dir):
     return clashes.select("column_name", folder.alias("folder"), "file_type", "merged_type").distinct()
 
 
+@query("required_tables",
+       "SELECT * FROM (VALUES (0, 'orders_archive'), (1, 'lineitem_archive')) missing(place, table_name)")
+def required_tables(spark, sf_dir):
+    """Tables that an ingest requires and the snapshot does not have, in the order required."""
+    available = [row["table_name"] for row in table_counts(spark, sf_dir).select("table_name").collect()]
+    missing = tables.missing_tables(available, ["orders", "orders_archive", "lineitem", "lineitem_archive"])
+    return spark.createDataFrame(list(enumerate(missing)), "place int, table_name string")
+
+
+@query("report_round_trip",
+       "SELECT o_orderpriority, CAST(count(*) AS VARCHAR) AS n_rows, concat('\"', o_orderpriority, '\", \\', o_orderpriority) AS note "
+       "FROM orders GROUP BY o_orderpriority")
+def report_round_trip(spark, sf_dir):
+    """A report with quotes and backslashes in its cells, written as one CSV and read as reports are."""
+    priority = F.col("o_orderpriority")
+    note = F.concat(F.lit('"'), priority, F.lit('", \\'), priority).alias("note")
+    report = v.table(spark, sf_dir, "orders").groupBy(priority).agg(F.count(F.lit(1)).alias("n_rows")).select(priority, "n_rows", note)
+    path = scratch_path(spark, "report_csv")
+    sinks.export_csv(report, path, single_file=True)
+    return reports.read_report_csv(spark, path)
+
+
 @query("ingest_rejects",
        "WITH lines AS (SELECT o_orderkey, o_orderkey % 50 AS r FROM orders), found AS ("
        "SELECT 'null key' AS problem, count(*) FILTER (o_orderkey IS NULL) AS n_rows, true AS always FROM lines "
