@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom import views as v
 from riskloom.operators import models as m
+from riskloom.operators import trees
 from riskloom.operators.cvlog import best_logged
 from riskloom.operators.encode import build_pipeline, feature_names
 from riskloom.operators.longform import names_table
@@ -153,6 +154,27 @@ def reloaded_model_rows(spark, sf_dir):
     return both.select("transactionid", "label", (F.col("probability") == F.col("loaded")).alias("same"))
 
 
+def _compiled(spark, sf_dir, name):
+    """Whether the expression of a fitted ensemble gives what its ``transform`` gives, row by row."""
+    model, held = _fitted(spark, sf_dir, name)
+    scored = m.score(model, held).select("transactionid", m.positive_probability(F.col("probability")).alias("p"), F.col("prediction").alias("q"))
+    compiled = trees.score_columns(held.select("transactionid", "label", "features"), trees.ensemble_nodes(spark, model), vector_to_array("features"))
+    same = (F.abs(F.col("probability") - F.col("p")) < 1e-12) & (F.col("prediction") == F.col("q"))
+    return compiled.join(scored, "transactionid").select("transactionid", "label", same.alias("same"))
+
+
+@query("compiled_forest_rows", _held_out("same"))
+def compiled_forest_rows(spark, sf_dir):
+    """A forest as an expression over feature values, against the fitted forest."""
+    return _compiled(spark, sf_dir, "rf")
+
+
+@query("compiled_boosted_rows", _held_out("same"))
+def compiled_boosted_rows(spark, sf_dir):
+    """The same of fifty boosting rounds."""
+    return _compiled(spark, sf_dir, "gbt")
+
+
 @query("importances")
 def importances(spark, sf_dir):
     """Forest importances with the names of the encoded dimensions."""
