@@ -170,11 +170,14 @@ def _median_bounds(
     bounds = {i: (float("-inf"), float("inf")) for i in range(columns)}
     found: dict[int, tuple[float, float, int, int]] = {}
     value = F.col("value")
+    # with few rows the first step ends the search, and no mark is looked at
+    few = numbers.limit(rows + 1).count() <= rows
     while bounds:
         spots = sorted(bounds)
         low, high = (F.get(_array(bounds[i][end] for i in spots), F.col(POSITION)) for end in (0, 1))
         between = (value > low) & (value < high)
         shares = _array(i / marks for i in range(1, marks))
+        sketch = F.percentile_approx(F.when(between, value), shares, F.lit(max(10_000, 20 * marks)))
         cells = long_cells(numbers, [F.col(f"v{i}") for i in spots])
         counts = (
             cells.where(value.isNotNull() & ~F.isnan(value))
@@ -184,7 +187,7 @@ def _median_bounds(
                 F.count_if(value < low).alias("below"),
                 F.count_if(value == low).alias("at_low"),
                 F.count_if(between).alias("between"),
-                F.percentile_approx(F.when(between, value), shares, F.lit(max(10_000, 20 * marks))).alias("marks"),
+                (F.lit(None) if few else sketch).alias("marks"),
             )
         )
         steps = {spots[row[POSITION]]: row for row in counts.collect()}
