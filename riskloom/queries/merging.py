@@ -12,7 +12,7 @@ from riskloom.operators.models import prediction_export as export
 from riskloom.operators.quality import expected_names
 from riskloom.queries.registry import TXN, query
 from riskloom.session import scratch_path
-from riskloom.sources import versions
+from riskloom.sources import keyed, versions
 
 METRICS = f"""WITH {TXN}, metrics AS (
   SELECT productcd AS model_name, CAST(sum(is_fraud) AS DOUBLE) / count(*) AS test_auc_pr,
@@ -225,3 +225,26 @@ def prediction_sample(spark, sf_dir):
 def prediction_export(spark, sf_dir):
     """Label and prediction of one scorer as whole numbers."""
     return export(two_models(spark, sf_dir).where(F.col("model_name") == "k"))
+
+
+@query("batch_duplicates",
+       "SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS n_new, count(*) FILTER (WHERE event_type <> 'click') AS n_stored FROM events "
+       "GROUP BY 1 HAVING n_new > 1 OR (n_new > 0 AND n_stored > 0)")
+def batch_duplicates(spark, sf_dir):
+    """Clicks audited as a new batch against all other events, which are stored in a batch per type."""
+    events = v.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    stored = keyed.KeyedBatches(spark, scratch_path(spark, "keyed_events"), {"user_id": "bigint"})
+    for kind in sorted(row[0] for row in events.where("event_type <> 'click'").select("event_type").distinct().collect()):
+        stored.add(events.where(F.col("event_type") == kind), kind)
+    return stored.duplicates(events.where("event_type = 'click'"))
+
+
+@query("batch_orphans", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def batch_orphans(spark, sf_dir):
+    """Documents without a label, where the labels are stored in a batch per quality."""
+    labels = v.table(spark, sf_dir, "labels")
+    stored = keyed.KeyedBatches(spark, scratch_path(spark, "keyed_labels"), {"doc_id": "bigint"})
+    grade = F.coalesce(F.col("quality").cast("string"), F.lit("none"))
+    for value in sorted(row[0] for row in labels.select(grade).distinct().collect()):
+        stored.add(labels.where(grade == value), value)
+    return stored.orphans(v.table(spark, sf_dir, "documents").select("doc_id", "lang"))
