@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
-#: Function words of the languages in the corpus; running text of any length has some.
+#: Function words by language, in lower case; running text has them at a steady rate. A corpus in others passes its own.
 STOP_WORDS = {
     "en": ("the", "be", "to", "of", "and", "that", "have", "with", "is", "in", "it", "for", "was", "on", "are"),
     "fr": ("le", "la", "les", "de", "des", "et", "que", "un", "une", "est", "dans", "pour", "du", "en", "avec"),
@@ -25,10 +26,9 @@ STOP_WORDS = {
 LETTERLESS = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
 
 
-def stop_forms() -> list[str]:
-    """Stop words in lower case and with a capital."""
-    words = {w for group in STOP_WORDS.values() for w in group}
-    return sorted(words | {w.capitalize() for w in words})
+def stop_forms(stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> list[str]:
+    """The stop words of all languages in lower case."""
+    return sorted({word.lower() for words in stop_words.values() for word in words})
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", least=2.5, most=12),
     Rule("symbols", "n_symbols", "n_words", most=0.1),
     Rule("letters", "n_letter_words", "n_words", least=0.7),
-    Rule("stop_words", "n_stop_words", least=2),
+    Rule("stop_words", "n_stop_words", "n_words", least=0.06),
     Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.3),
     Rule("bullets", "n_bullet_lines", "n_lines", most=0.9),
     Rule("ellipses", "n_ellipsis_lines", "n_lines", most=0.3),
@@ -82,14 +82,15 @@ def covered(places: Column) -> Column:
     )
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, stop_words: Mapping[str, Sequence[str]] = STOP_WORDS) -> DataFrame:
     """(doc_id, all of MEASURES as longs) of every row, in one pass without a shuffle.
 
+    ``n_stop_words`` counts the words that are stop words of any language, as often as they occur, in either case.
     Windows of three words are compared by 64-bit hashes. Only a row with a repeated
     one is sorted: a hash gives its lowest bits to the window's place, as many as
     the row needs, so that equal windows are neighbours in a sorted array of longs.
     """
-    stop = F.array(*[F.lit(w) for w in stop_forms()])
+    stop = stop_forms(stop_words)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text"))
     spaced = F.regexp_replace("_text", r"[\x09-\x0D]", " ")
     rows = rows.withColumn("_words", F.array_remove(F.split(spaced, " "), ""))
@@ -125,14 +126,19 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_repeat_words": covered(F.col("_places")),
         "n_lines": F.size(lines),
         "n_letter_words": F.col("n_words") - F.regexp_count("_text", F.lit(LETTERLESS)),
-        "n_stop_words": F.size(F.array_intersect(words, stop)),
+        "n_stop_words": F.size(F.filter(words, lambda word: F.lower(word).isin(stop))),
         "n_bullet_lines": F.size(bullets),
         "n_ellipsis_lines": F.size(ellipses),
     }
     return rows.select("doc_id", *[measures[name].cast("long").alias(name) for name in MEASURES])
 
 
-def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> DataFrame:
+def judged(
+    docs: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    base: tuple[Rule, ...] = BASE,
+    stop_words: Mapping[str, Sequence[str]] = STOP_WORDS,
+) -> DataFrame:
     """(doc_id, MEASURES, base_failed, kept, failed_rules) of every row of ``docs`` (doc_id, text).
 
     Words end at ASCII white space, lines at line feeds; lines without a word do not
@@ -144,7 +150,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, .
         F.array(*[F.when(~rule.holds(), F.lit(rule.name)) for rule in (*base, *rules)]), lambda name: name.isNotNull()
     )
     base_failed = ~functools.reduce(operator.and_, [rule.holds() for rule in base])
-    return measured(docs).select("*", base_failed.alias("base_failed"), failed.alias("failed_rules")).withColumn(
+    return measured(docs, stop_words).select("*", base_failed.alias("base_failed"), failed.alias("failed_rules")).withColumn(
         "kept", F.size("failed_rules") == 0
     )
 

@@ -154,7 +154,7 @@ WITH split AS (
          coalesce(n_repeat_words, 0) AS n_repeat_words,
          len(lines) AS n_lines,
          len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
-         len(list_intersect(list_distinct(words), [{_STOP}])) AS n_stop_words,
+         len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words,
          len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣–][ \t]'))) AS n_bullet_lines,
          len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
   FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id
