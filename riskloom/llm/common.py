@@ -43,6 +43,14 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until no column of the frames is called that, in any case of letters."""
+    taken = {column.lower() for frame in frames for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def chunk_rank(df: DataFrame, keys: list[str], chunk: str, order: list[str], values: dict[str, str]) -> DataFrame:
     """Exclusive running sums of ``values`` (name -> summed column) within ``keys``, by ``chunk`` and then ``order``.
 
@@ -73,9 +81,10 @@ def chunk_rank(df: DataFrame, keys: list[str], chunk: str, order: list[str], val
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on columns of the same names, nulls equal; the key columns of the left side stay."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = functools.reduce(operator.and_, [same(F.col(c), F.col(f"_r_{c}")) for c in keys])
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in keys])
+    other = {c: free_name(f"_r_{c}", left, right) for c in keys}
+    renamed = right.withColumnsRenamed(other)
+    condition = functools.reduce(operator.and_, [same(F.col(c), F.col(other[c])) for c in keys])
+    return left.join(renamed, condition, how).drop(*other.values())
 
 
 def ranged(df: DataFrame, by: list[str], rows_per_part: int, name: str, most_parts: int = 10_000) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import join_null_safe, stored
+from riskloom.llm.common import free_name, join_null_safe, stored
 
 #: The text model is fitted on at most this many labelled texts of each language.
 SAMPLE_PER_LANGUAGE = 500
@@ -38,10 +38,15 @@ SITE_WEIGHT, HOST_WEIGHT, TABLE_WEIGHT = 10.0, 5.0, 20.0
 #: Bytes of a text that are looked up at once.
 STRIDE = 1 << 16
 
-SCRIPTS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
+HIDDEN = re.compile(r"<(script|style)\b|<!--", re.I)
+HIDDEN_ENDS = {
+    "script": re.compile(r"</script\s*>", re.I),
+    "style": re.compile(r"</style\s*>", re.I),
+    None: re.compile("-->"),
+}
 TAGS = re.compile(r"<[^<>]*>")
 NAME = r"^([A-Za-z]+)"
-DECLARED = r"(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]+)"
+DECLARED = r"(?is)<html\b[^<>]*?\s(?:xml:)?lang\s*=\s*[\"']?([A-Za-z]+)"
 
 
 def language_name(column: str) -> Column:
@@ -50,8 +55,27 @@ def language_name(column: str) -> Column:
     return F.when(name != "", name)
 
 
+def without_hidden(markup: str) -> str:
+    """The markup with scripts, styles and comments as spaces; one that nothing closes is left, and found out only once.
+
+    The time is linear in the length: after the last end of a kind none is looked for.
+    """
+    kept, at, place, open_ended = [], 0, 0, set()
+    while found := HIDDEN.search(markup, place):
+        kind = found[1] and found[1].lower()
+        end = None if kind in open_ended else HIDDEN_ENDS[kind].search(markup, found.end())
+        if end:
+            kept.append(markup[at : found.start()])
+            at = place = end.end()
+        else:
+            open_ended.add(kind)
+            place = found.end()
+    return " ".join([*kept, markup[at:]])
+
+
 def visible_text(markup: str | None) -> str:
-    return html.unescape(TAGS.sub(" ", SCRIPTS.sub(" ", markup or "")))
+    """The text of a page; time is linear in its length, whatever is left unclosed in it."""
+    return html.unescape(TAGS.sub(" ", without_hidden(markup or "")))
 
 
 #: Bytes that letters are made of, and the space between words.
@@ -331,5 +355,6 @@ def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     or in letters that no labelled text has are not noise.
     """
     noise = document_languages(docs, labelled).where((F.col("language") == UNKNOWN) & F.col("noise"))
-    rejected = noise.select("doc_id", "_key").distinct()
-    return join_null_safe(docs.withColumn("_key", document_key()), rejected, ["doc_id", "_key"], "left_anti").drop("_key")
+    key = free_name("_key", docs)
+    rejected = noise.select("doc_id", F.col("_key").alias(key)).distinct()
+    return join_null_safe(docs.withColumn(key, document_key()), rejected, ["doc_id", key], "left_anti").drop(key)

@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import chunk_rank, join_null_safe, stored, text_of, word_count
+from riskloom.llm.common import chunk_rank, free_name, join_null_safe, stored, text_of, word_count
 
 BLOCK_WORDS = 1000
 #: A source's words are taken this many times at most.
@@ -155,12 +155,13 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block:
     A pass counts when the mix takes more than half of the row's words in it; only
     the document on which a source's quota ends is ever taken in part.
     """
-    whole = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents", compression="zstd")
+    number = free_name("_row", docs)
+    whole = stored(docs.withColumn(number, F.monotonically_increasing_id()), "mix-documents", compression="zstd")
     rows = whole.select(
-        "_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size")
+        F.col(number).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size")
     )
     sized = stored(rows, "mix-sizes")
     plan = source_plan(sized, weights, block)
     passes = mix(sized, plan, block, seed).groupBy("_row", "epoch").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("words"))
-    passes = passes.join(sized.select("_row", "size"), "_row").where("2 * words > size").select("_row")
-    return whole.join(passes, "_row").drop("_row")
+    passes = passes.join(sized.select("_row", "size"), "_row").where("2 * words > size").select(F.col("_row").alias(number))
+    return whole.join(passes, number).drop(number)
