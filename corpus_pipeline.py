@@ -22,7 +22,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that share four fifths of their runs of five words the row with the smallest doc_id stays."""
+    """Of texts that share four fifths of their runs of five words the row with the smallest doc_id stays.
+
+    SimHash fingerprints of the runs propose pairs, MinHash bands those whose fingerprints lie further apart.
+    """
     return jaccard.keep_first(docs)
 
 

@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands find pairs, exact sets decide."""
+"""Near copies by the Jaccard similarity of word shingles: SimHash fingerprints and MinHash bands find pairs, exact sets decide."""
 
 from __future__ import annotations
 
@@ -10,13 +10,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import simhash
 from riskloom.llm.common import components, free_name, join_null_safe, stored
 
 SEED = 42
 SHINGLE = 5
 #: Two texts are linked from this similarity on, as a fraction of whole numbers.
 LEAST = (4, 5)
-#: Two texts meet when all ROWS minima of one of BANDS bands are equal: at a similarity of 0.8
+#: Two texts meet when the fingerprints of their shingles differ in at most RADIUS of 64 bits.
+RADIUS = 3
+#: At a similarity of 0.8 most fingerprints lie further apart than that, and a radius wide enough
+#: for all has no selective keys. So two texts also meet when all ROWS minima of one of BANDS bands are equal: at a similarity of 0.8
 #: all but 2 in 10,000 pairs, nearer ones sooner.
 BANDS, ROWS = 28, 6
 #: Texts of one set of candidates compared in one task; larger sets are dealt to pairs of blocks.
@@ -34,13 +38,18 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def shingles(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
-    """Distinct XXH64 hashes of all runs of words, ascending; a shorter text is one run."""
+def shingle_hashes(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 hashes of all runs of words, in order; a shorter text is one run."""
     if len(words) <= shingle:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64))
+    return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64)
+
+
+def shingles(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """Distinct XXH64 hashes of all runs of words, ascending."""
+    return np.unique(shingle_hashes(words, shingle))
 
 
 def band_keys(hashes: np.ndarray) -> list[int]:
@@ -54,38 +63,62 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, node, bands) of every row: the hash of its text as it is and of its words, and its band keys."""
+    """(doc_id, key, node, fingerprint, bands) of every row.
+
+    ``key`` and ``node`` are the hashes of its text as it is and of its words.
+    ``fingerprint`` is the majority of its runs of words, repeats included, and
+    ``bands`` are the band keys of the distinct ones.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, bands = [], []
+            nodes, prints, bands = [], [], []
             for text in batch.column(2):
                 words = words_of(text.as_py())
                 nodes.append(xxhash.xxh64_intdigest(b" ".join(words), SEED) - (1 << 63))
-                bands.append(band_keys(shingles(words)))
-            columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "node", "bands"])
+                hashes = shingle_hashes(words)
+                prints.append(simhash.majority(hashes) if words else 0)
+                bands.append(band_keys(np.unique(hashes)))
+            prints = pa.array(np.array(prints, np.uint64).view(np.int64))
+            columns = [*batch.columns[:2], pa.array(nodes, pa.int64()), prints, pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "node", "fingerprint", "bands"])
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string").alias("text")
     )
-    return rows.mapInArrow(sketch, "doc_id long, key long, node long, bands array<long>")
+    return rows.mapInArrow(sketch, "doc_id long, key long, node long, fingerprint long, bands array<long>")
 
 
 def text_key():
     return F.xxhash64(F.col("text").cast("string"))
 
 
+def close_prints(sketched: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all nodes whose fingerprints differ in at most RADIUS bits.
+
+    Nodes of one fingerprint are tied to the smallest of them, which stands for
+    all when the distinct fingerprints are compared.
+    """
+    printed = stored(sketched.select("node", "fingerprint").distinct(), "jaccard-prints")
+    least = printed.groupBy("fingerprint").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+    least = stored(least, "jaccard-least")
+    equal = printed.join(least.where("n > 1"), "fingerprint").where("node <> least")
+    first, second = (least.select(F.col("fingerprint").alias(end), F.col("least").alias(f"least_{end}")) for end in "ab")
+    close = simhash.links(least.select("fingerprint"), RADIUS).distinct().join(first, "a").join(second, "b")
+    return equal.select(F.col("node").alias("a"), F.col("least").alias("b")).union(close.select("least_a", "least_b"))
+
+
 def candidates(sketched: DataFrame) -> DataFrame:
-    """(node, component): sets of nodes that hold together by shared band keys, before any pair is compared.
+    """(node, component): sets of nodes that hold together by close fingerprints or shared band keys.
 
-    Each node of a key is tied to the smallest one there, so a key of any length
-    makes as many rows as it has nodes.
+    No pair is compared yet. Each node of a band key is tied to the smallest one
+    there, so a key of any length makes as many rows as it has nodes.
     """
     banded = stored(sketched.select("node", F.explode("bands").alias("band")).distinct(), "jaccard-bands")
     smallest = banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
     tied = banded.join(smallest.select("band", "least"), "band").where("node <> least")
-    return components(tied.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
+    tied = tied.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    return components(tied.union(close_prints(sketched)).distinct())
 
 
 def similar(left: np.ndarray, right: np.ndarray) -> bool:

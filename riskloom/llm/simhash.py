@@ -34,7 +34,12 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype="<u8")
+    return majority(np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the 64-bit hashes."""
+    hashes = hashes.astype("<u8", copy=False)
     votes = np.zeros(BITS, np.int64)
     for start in range(0, len(hashes), 4096):
         part = hashes[start : start + 4096].view(np.uint8).reshape(-1, 8)

@@ -3,6 +3,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from riskloom.llm import jaccard, simhash
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -72,3 +74,20 @@ def test_bands_meet_at_the_least_similarity():
         keys = [jaccard.band_keys(jaccard.np.array(sorted(x), jaccard.np.uint64)) for x in (left, right)]
         met += any(a == b for a, b in zip(*keys))
     assert met >= 498
+
+
+def test_close_fingerprints_alone_propose_pairs(spark):
+    """Without any band key, copies within three bits of each other are still candidates; those further apart are not."""
+    r = random.Random(5)
+    base = [f"w{r.randrange(400)}" for _ in range(400)]
+    texts = [" ".join(base), " ".join(base).upper(), " ".join([*base, "more"]), " ".join(f"v{k}" for k in range(400))]
+    prints = [simhash.fingerprint(t, jaccard.SHINGLE) for t in texts]
+    assert prints[0] == prints[1] and 0 <= (prints[0] ^ prints[2]).bit_count() <= 3 < (prints[0] ^ prints[3]).bit_count()
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], SCHEMA)
+    sketched = jaccard.sketches(docs)
+    assert [x.fingerprint % (1 << 64) for x in sketched.orderBy("doc_id").collect()] == prints
+    nodes = {x.doc_id: x.node for x in sketched.collect()}
+    alone = sketched.withColumn("bands", F.array().cast("array<long>"))
+    sets = {x.node: x.component for x in jaccard.candidates(alone).collect()}
+    assert nodes[0] == nodes[1] and set(sets) == {nodes[0], nodes[2]} and len(set(sets.values())) == 1
+    assert {x.doc_id for x in jaccard.keep_first(docs).collect()} == {0, 3}
