@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import components, stored, text_of
@@ -18,12 +18,7 @@ Threshold = int | tuple[tuple[int, int], ...]
 #: Places of the table that tells which lines are in a pair at all; it goes to every task.
 SIEVE = 1 << 20
 #: Letters whose numbers in a line are compared before the line itself; each in 4 bits, modulo 16.
-LETTERS = "eantor"
-
-
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+LETTERS = "eantorislducmpgh"
 
 
 def classes_of(threshold: Threshold) -> list[tuple[int, int | None, int]]:
@@ -48,67 +43,21 @@ def by_class(length: Column, threshold: Threshold, value: Callable[[int], Column
 
 
 def banded_distance(left: Column, right: Column, threshold: int) -> Column:
-    """Edit distance of two arrays of characters whose lengths differ by at most ``threshold``; exact up to it.
+    """Edit distance of two texts in characters; exact up to ``threshold``, null beyond it.
 
-    Only the diagonals within ``threshold`` of the main one are looked at. For a
-    column of the table they are one machine word: ``vp`` and ``vn`` hold the places
-    where the distance rises or falls down the band, and a column follows from the
-    one before by a few bit operations. The count follows the lowest diagonal of
-    the band to the last row, and that row to its end.
+    The built-in looks at the diagonals within ``threshold`` of the main one only,
+    in generated code.
     """
-    width = 2 * threshold + 1
-    full = (1 << width) - 1
-    rows, columns = F.size(left), F.size(right)
-
-    def long(value) -> Column:
-        return F.lit(value).cast("long")
-
-    def bit(word: Column, place) -> Column:
-        return F.call_function("shiftright", word, place if isinstance(place, Column) else F.lit(place)).bitwiseAND(long(1))
-
-    def step(state: Column, j: Column) -> Column:
-        """``j`` counts columns from one; bit k of a word is row j - threshold + k."""
-        here = F.get(right, j - 1)
-        equal = functools.reduce(
-            operator.add,
-            [F.when(F.get(left, j - (threshold + 1 - k)) == here, long(1 << k)).otherwise(long(0)) for k in range(width)],
-        )
-
-        def with_equal(eq: Column) -> Column:
-            vp, vn = state["vp"], state["vn"]
-            same = (eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn).bitwiseAND(long(full))
-            return let(same, with_same)
-
-        def with_same(d0: Column) -> Column:
-            hp = state["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(state["vp"]))).bitwiseAND(long(full))
-            return let(F.struct(hp.alias("hp"), d0.bitwiseAND(state["vp"]).alias("hn"), d0.alias("d0")), with_steps)
-
-        def with_steps(s: Column) -> Column:
-            down = F.shiftright(s["d0"], 1)
-            diagonal = long(1) - bit(s["d0"], width - 1)
-            place = F.greatest(rows - j + threshold, F.lit(0))
-            across = bit(s["hp"], place) - bit(s["hn"], place)
-            return F.struct(
-                s["hn"].bitwiseOR(F.bitwise_not(down.bitwiseOR(s["hp"]))).bitwiseAND(long(full)).alias("vp"),
-                down.bitwiseAND(s["hp"]).alias("vn"),
-                (state["distance"] + F.when(j + threshold <= rows, diagonal).otherwise(across)).alias("distance"),
-            )
-
-        return let(equal, with_equal)
-
-    start = F.struct(
-        long(full & ~((1 << threshold) - 1)).alias("vp"),
-        long(0).alias("vn"),
-        F.least(rows, F.lit(threshold)).cast("long").alias("distance"),
-    )
-    walked = F.aggregate(F.sequence(F.lit(1), columns), start, step, lambda state: state["distance"])
-    return F.when(columns == 0, rows.cast("long")).when(rows == 0, columns.cast("long")).otherwise(walked)
+    return F.nullif(F.levenshtein(left, right, threshold).cast("long"), F.lit(-1).cast("long"))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line): every line with a word of every document, without the white space around it."""
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text_of(), "\n")).alias("line_no", "line"))
-    return lines.select("doc_id", "line_no", F.btrim("line", F.lit(BLANKS)).alias("line")).where("line <> ''")
+    line = F.col("line")
+    blank = functools.reduce(operator.or_, [side(F.lit(c)) for c in BLANKS for side in (line.startswith, line.endswith)])
+    trimmed = F.when(blank, F.btrim(line, F.lit(BLANKS))).otherwise(line)  # trimming by a set copies the line's places
+    return lines.select("doc_id", "line_no", trimmed.alias("line")).where("line <> ''")
 
 
 def line_id() -> Column:
@@ -133,124 +82,141 @@ def counts_apart(left: Column, right: Column) -> Column:
     return F.shiftright(functools.reduce(operator.add, differences) + 1, 1)
 
 
-def segment_bounds(length: Column, parts: int, part: int) -> tuple[Column, Column]:
-    """(first character from zero, characters) of one of ``parts`` segments of a line; the last ones are the longer."""
-    short = F.floor(length / parts)
-    longer = length - short * parts
-    before = part * short + F.greatest(F.lit(0), F.lit(part) - (parts - longer))
-    size = short + F.when(F.lit(part) >= parts - longer, 1).otherwise(0)
-    return before.cast("int"), size.cast("int")
+def base_of(length: Column) -> Column:
+    """``length`` with all but its three leading binary digits cleared: lines of one base are cut alike, four bases an octave."""
+    unit = F.call_function("shiftleft", F.lit(1), F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)))).cast("int") - 2, F.lit(0)))
+    return length - length % unit
 
 
-def segment_key(line: Column, length: Column, part: int, first: Column, size: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(part), F.substring(line, first + 1, size))
+def probes(edits: int) -> list[int]:
+    """The places where a line is asked for each of its ``edits`` + 1 segments, as 256 * part + 128 + shift.
 
+    Of two lines within ``edits`` edits one segment of the shorter line comes again
+    in the longer one with exactly as many edits before it as there are segments
+    before it, so at most the rest of them behind it. Segments of the first half are
+    placed from the start of a line, the others from its end: a place is then off by
+    no more than the edits on that side, whatever the two lengths are.
+    """
+    near = [min(part, edits - part) for part in range(edits + 1)]
+    return [256 * part + 128 + shift for part, most in enumerate(near) for shift in range(-most, most + 1)]
 
-def segment_keys(threshold: Threshold) -> list[Column]:
-    """Keys of the segments of a line, one more than the edits its length allows."""
 
-    def own(part: int, edits: int) -> Column | None:
-        if part > edits:
-            return None
-        first, size = segment_bounds(F.col("length"), edits + 1, part)
-        return segment_key(F.col("line"), F.col("length"), part, first, size)
+def key_rows(texts: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
+    """(key, own, line_id): the keys under which distinct lines (line_id, line) meet; ``own`` are those of a line's own segments.
 
-    return [
-        by_class(F.col("length"), threshold, lambda edits, part=part: own(part, edits)) for part in range(most_edits(threshold) + 1)
-    ]
+    Lines that allow the same edits and have the same base have segments of the
+    same size, whole ones that need not reach the middle of the line. A line is
+    asked for the segments of its own base and of every other one that lines
+    shorter by the allowed edits have. Keys keep 40 bits; lines that meet by chance are measured like any other.
+    """
+    most = most_edits(threshold)
 
+    def edits_of(length: Column) -> Column:
+        return by_class(length, threshold, F.lit).cast("int")
+
+    target = F.col("length") - F.col("shorter")
+    rows = texts.select("line_id", "line", F.length("line").alias("length"), F.explode(F.sequence(F.lit(0), F.lit(most))).alias("shorter"))
+    rows = rows.where(target >= 0).select("*", edits_of(target).alias("edits"), base_of(target).alias("base"))
+    other = (edits_of(target + 1) != F.col("edits")) | (base_of(target + 1) != F.col("base"))
+    rows = rows.where((F.col("shorter") <= F.col("edits")) & ((F.col("shorter") == 0) | other))  # once a kind of segments
+    places = F.coalesce(*[F.when(F.col("edits") == k, F.lit(probes(k))) for k in sorted({k for _, _, k in classes_of(threshold)})])
+    size = F.expr("cast(base div (edits + 1) as int)")
+    rows = rows.select("*", size.alias("size"), F.explode(places).alias("place"))
+    rows = rows.select("*", F.shiftright("place", 8).alias("part"), (F.col("place").bitwiseAND(F.lit(255)) - 128).alias("shift"))
+    part, left = F.col("part"), 2 * F.col("part") <= F.col("edits")
+    start = F.when(left, part * F.col("size")).otherwise(F.col("length") - (F.col("edits") + 1 - part) * F.col("size"))
+    rows = rows.select("*", (start + F.col("shift")).alias("start"))
+    fits = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("length"))
+    # a line shorter by so many characters leaves that many fewer edits for the other side of the segment
+    spare = F.when(left, F.col("shift") - F.col("shorter") + F.col("edits") - part).otherwise(part - F.col("shorter") - F.col("shift"))
+    rows = rows.where(fits & (spare >= 0) & ((F.col("size") > 0) | (F.col("part") == 0)))  # one empty segment is as good as many
+    key = F.xxhash64("base", "edits", "part", F.substring("line", F.col("start") + 1, F.col("size")))
+    own = (F.col("shorter") == 0) & (F.col("shift") == 0)
+    return rows.select(F.shiftrightunsigned(key, 24).alias("key"), own.alias("own"), "line_id")
 
-def probe_keys(threshold: Threshold) -> list[Column]:
-    """Keys of the substrings of a line that can be a segment of a line as long or shorter.
 
-    For a line shorter by ``shorter`` and its segment ``part``, a substring can only
-    match if it starts close enough to the segment's own place: the edits in
-    front of it are at most ``part``, those behind it at most the rest of the
-    threshold. The shorter line's length says how many edits and segments there are.
+def distinct_lines(docs: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
+    """(line_id, first_doc_id, copies) of every distinct line, stored; they are the same for every ``threshold``.
+
+    Only these longs are shuffled, and copies of a line combine in the task that
+    reads them. Lines are known by a 64-bit hash.
     """
-    most, keys = most_edits(threshold), []
-
-    def asked(shorter: int, part: int, shift: int, edits: int) -> Column | None:
-        if max(shorter, part) > edits or abs(shift) > part or abs(shorter - shift) > edits - part:
-            return None
-        target = F.col("length") - shorter
-        first, size = segment_bounds(target, edits + 1, part)
-        start = first + shift
-        fits = (target >= 0) & (start >= 0) & (start + size <= F.col("length"))
-        return F.when(fits, segment_key(F.col("line"), target, part, start, size))
-
-    for shorter in range(most + 1):
-        for part in range(most + 1):
-            for shift in range(-most, most + 1):
-                uses = [asked(shorter, part, shift, edits) is not None for _, _, edits in classes_of(threshold)]
-                if any(uses):
-                    keys.append(
-                        by_class(
-                            F.col("length") - shorter, threshold,
-                            lambda edits, at=(shorter, part, shift): asked(*at, edits),
-                        )
-                    )
-    return keys
+    lines = line_rows(docs).select("doc_id", line_id().alias("line_id"))
+    return stored(lines.groupBy("line_id").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies")), "lines")
 
 
-def distinct_lines(docs: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
-    """(line_id, first_doc_id, copies, letters, keys) of every distinct line, stored.
+def sieved(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """(line_id, line) of the lines of ``docs`` that may be (left_semi) or cannot be (left_anti) among ``ids`` (line_id), copies included.
 
-    The text stays where it is read: its keys, a few longs, are all that is
-    shuffled, and copies of a line combine in the task that reads them. Lines are
-    known by a 64-bit hash.
+    The table of at most SIEVE places is small enough to send to every task.
     """
-    lines = line_rows(docs).withColumn("length", F.length("line"))
-    own, asked = segment_keys(threshold), probe_keys(threshold)
-    names = [f"own_{k}" for k in range(len(own))] + [f"ask_{k}" for k in range(len(asked))]
-    keyed = lines.select(
-        "doc_id", line_id().alias("line_id"), letter_counts(F.col("line")).alias("letters"),
-        *[key.alias(name) for name, key in zip(names, [*own, *asked])],
-    )
-    same = [F.max(c).alias(c) for c in ("letters", *names)]  # alike in all copies; a maximum of longs combines in place
-    return stored(keyed.groupBy("line_id").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies"), *same), "lines")
+    place = F.pmod("line_id", F.lit(SIEVE))
+    places = F.broadcast(ids.select(place.alias("place")).distinct())
+    lines = line_rows(docs).select(line_id().alias("line_id"), "line")
+    return lines.withColumn("place", place).join(places, "place", how).select("line_id", "line")
+
 
+def distinct_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(line_id, line) of every one of ``lines`` of ``docs``, once each.
 
-def candidates(lines: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
-    """(a, b): pairs of lines, a < b, that share a segment and whose letters are not too far apart."""
+    What is certain to be there once stays in the task that reads it; only the texts
+    of repeated lines, and of those in the same place of the sieve, are shuffled.
+    """
+    repeated = lines.where("copies > 1").select("line_id")
+    return sieved(docs, repeated, "left_anti").union(sieved(docs, repeated, "left_semi").distinct())
 
-    def exploded(prefix: str) -> Column:
-        keys = F.array(*[c for c in lines.columns if c.startswith(prefix)])
-        return F.explode(F.filter(F.array_distinct(keys), lambda key: key.isNotNull())).alias("key")
 
-    index = lines.select(exploded("own_"), F.col("line_id").alias("x"), F.col("letters").alias("lx"))
-    probe = lines.select(exploded("ask_"), F.col("line_id").alias("y"), F.col("letters").alias("ly"))
-    near = (F.col("x") != F.col("y")) & (counts_apart(F.col("lx"), F.col("ly")) <= most_edits(threshold))
-    pairs = probe.join(index, (probe["key"] == index["key"]) & near)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def shared_keys(docs: DataFrame, lines: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
+    """The rows of :func:`key_rows` whose key another line has too and at least one line as its own, stored.
+
+    Nearly all keys belong to one line. They are sorted out where the rows of a key
+    first come together, in one pass over a key however many lines hold it.
+    """
+    held = Window.partitionBy("key")
+    rows = key_rows(distinct_texts(docs, lines), threshold).select(
+        "key", "own", "line_id",
+        F.min("line_id").over(held).alias("first"), F.max("line_id").over(held).alias("last"), F.max("own").over(held).alias("asked"),
+    )
+    return stored(rows.where("first < last and asked").select("key", "own", "line_id"), "line-keys")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(line_id, line) of the ``wanted`` (line_id), once each.
 
-    Most lines are in no pair. A table of at most SIEVE places, small enough to send
-    to every task, drops nearly all of them where they are read.
+    Most lines are not wanted; the sieve drops nearly all of them where they are read.
     """
-    place = F.pmod("line_id", F.lit(SIEVE))
-    sieve = F.broadcast(wanted.select(place.alias("place")).distinct())
-    lines = line_rows(docs).select(line_id().alias("line_id"), "line")
-    lines = lines.withColumn("place", place).join(sieve, "place", "left_semi").select("line_id", "line").distinct()
-    return lines.join(wanted, "line_id", "left_semi")
+    return sieved(docs, wanted, "left_semi").distinct().join(wanted, "line_id", "left_semi")
+
+
+def candidates(keys: DataFrame, texts: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
+    """(a, b): pairs of lines, a < b, that share one of the ``keys`` (key, own, line_id) and whose lengths and letters are not too far apart.
+
+    ``texts`` (line_id, line) has their texts. Lines that share a key meet by the length of the shorter one, so that a
+    passage which very many lines have in common does not bring all of them together.
+    """
+    traits = texts.select("line_id", F.length("line").alias("length"), letter_counts(F.col("line")).alias("letters"))
+    rows = keys.join(stored(traits, "line-traits"), "line_id")
+    index = rows.where("own").select("key", "length", F.col("line_id").alias("x"), F.col("letters").alias("lx"))
+    shorter = F.explode(F.sequence(F.lit(0), F.lit(most_edits(threshold)))).alias("shorter")
+    probe = rows.select("key", "length", F.col("line_id").alias("y"), F.col("letters").alias("ly"), shorter)
+    probe = probe.withColumn("length", F.col("length") - F.col("shorter"))
+    allowed = by_class(F.col("length"), threshold, F.lit)
+    met = probe.where(F.col("shorter") <= allowed).drop("shorter").join(index, ["key", "length"])
+    pairs = met.where((F.col("x") != F.col("y")) & (counts_apart(F.col("lx"), F.col("ly")) <= allowed))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def line_links(docs: DataFrame, lines: DataFrame, threshold: Threshold = THRESHOLD) -> DataFrame:
     """(a, b, distance) of all pairs of distinct ``lines`` of ``docs`` within the edits of the shorter one, stored."""
-    pairs = stored(candidates(lines, threshold), "line-candidates")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-wanted")
-    texts = stored(texts_of(docs, wanted), "line-texts")
-    left = texts.select(F.col("line_id").alias("a"), F.split("line", "").alias("left"))
-    right = texts.select(F.col("line_id").alias("b"), F.split("line", "").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    most = most_edits(threshold)
-    allowed = by_class(F.least(F.size("left"), F.size("right")), threshold, F.lit)
-    measured = both.where(F.abs(F.size("left") - F.size("right")) <= most).select(
-        "a", "b", allowed.alias("allowed"), banded_distance(F.col("left"), F.col("right"), most).alias("distance")
-    )
+    keys = shared_keys(docs, lines, threshold)
+    texts = stored(texts_of(docs, keys.select("line_id").distinct()), "line-texts")
+    pairs = stored(candidates(keys, texts, threshold), "line-candidates")
+    left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("left"))
+    right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("right"))
+    both = pairs.join(left, "a").join(right, "b")
+    allowed = by_class(F.least(F.length("left"), F.length("right")), threshold, F.lit)
+    distance = banded_distance(F.col("left"), F.col("right"), most_edits(threshold))
+    measured = both.select("a", "b", allowed.alias("allowed"), distance.alias("distance"))
     return stored(measured.where("distance <= allowed").drop("allowed"), "line-links")
 
 
